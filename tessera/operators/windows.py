@@ -38,12 +38,16 @@ def _micros(ts: Column) -> Column:
 
 
 def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col: str,
+                    value_col: str | None = None, descending: bool = False,
                     rows_per_slice: int = ROWS_PER_SLICE,
                     max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """``out_col`` = next ``ts_col`` within ``key`` ordered by (ts_col, tie_col).
+    """``out_col`` = ``value_col`` (default ``ts_col``) of the next row within
+    ``key`` ordered by (ts_col, tie_col); ``descending=True`` orders newest
+    first, which makes this a LAG.
 
     Rows whose ``key`` is NULL form one group, as in SQL windows.
     """
+    value_col = value_col or ts_col
     stats = (df.groupBy(key)
              .agg(F.count(F.lit(1)).alias("_n"),
                   F.min(_micros(F.col(ts_col))).alias("_lo"),
@@ -56,39 +60,44 @@ def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col:
                 .select(key, "_lo", "_hi", "_slices")
                 .limit(max_hot_keys + 1)  # guard only; the threshold already bounds it
                 .collect())
+    hot_schema = stats.select(key, "_lo", "_hi", F.lit(1).cast("bigint").alias("_slices")).schema
     stats.unpersist()
     assert len(hot_rows) <= max_hot_keys
 
-    order = [F.col(ts_col), F.col(tie_col)]
+    if descending:
+        order = [F.col(ts_col).desc(), F.col(tie_col).desc()]
+    else:
+        order = [F.col(ts_col).asc(), F.col(tie_col).asc()]
     if not hot_rows:
         w = Window.partitionBy(key).orderBy(*order)
-        return df.withColumn(out_col, F.lead(ts_col).over(w))
+        return df.withColumn(out_col, F.lead(value_col).over(w))
 
-    spark = df.sparkSession
-    hot_schema = stats.select(key, "_lo", "_hi", F.lit(1).cast("bigint").alias("_slices")).schema
-    hot = spark.createDataFrame(hot_rows, schema=hot_schema)
+    hot = df.sparkSession.createDataFrame(hot_rows, schema=hot_schema)
     span = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
-    slice_no = F.least(
-        F.col("_slices") - 1,
-        F.floor((_micros(F.col(ts_col)) - F.col("_lo")).cast("double") * F.col("_slices") / span),
-    ).cast("bigint")
+    dist = (F.col("_hi") - _micros(F.col(ts_col))) if descending else (_micros(F.col(ts_col)) - F.col("_lo"))
+    slice_no = F.least(F.col("_slices") - 1,
+                       F.floor(dist.cast("double") * F.col("_slices") / span)).cast("bigint")
     sliced = (df.join(F.broadcast(hot), on=key, how="left")  # size bounded by max_hot_keys
               .withColumn("_slice", F.coalesce(slice_no, F.lit(0).cast("bigint")))
               .drop("_lo", "_hi", "_slices"))
 
     w = Window.partitionBy(key, "_slice").orderBy(*order)
-    local = sliced.withColumn("_next", F.lead(ts_col).over(w))
+    local = (sliced.withColumn("_next", F.lead(value_col).over(w))
+             .withColumn("_has_next", F.lead(F.lit(True)).over(w).isNotNull()))
 
-    # one row per slice of a hot key: first timestamp, then the next slice's
+    # one row per slice of a hot key: its first value in the window order,
+    # then the first value of the key's next non-empty slice
+    pos = F.struct(F.col(ts_col), F.col(tie_col))
+    first = F.max_by(value_col, pos) if descending else F.min_by(value_col, pos)
     firsts = (sliced.join(F.broadcast(hot.select(key)), on=key, how="left_semi")
-              .groupBy(key, "_slice").agg(F.min(ts_col).alias("_first")))
+              .groupBy(key, "_slice").agg(first.alias("_first")))
     nxt = firsts.withColumn(
         "_next_slice_first",
         F.lead("_first").over(Window.partitionBy(key).orderBy("_slice"))).drop("_first")
-    out = (local.join(nxt, on=[key, "_slice"], how="left")
-           .withColumn(out_col, F.coalesce(F.col("_next"), F.col("_next_slice_first")))
-           .drop("_next", "_next_slice_first", "_slice"))
-    return out
+    return (local.join(nxt, on=[key, "_slice"], how="left")
+            .withColumn(out_col, F.when(F.col("_has_next"), F.col("_next"))
+                        .otherwise(F.col("_next_slice_first")))
+            .drop("_next", "_next_slice_first", "_slice", "_has_next"))
 
 
 def top1_by_group(df: DataFrame, group_cols: list[str], id_col: str, rank: Column,

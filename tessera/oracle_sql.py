@@ -264,4 +264,108 @@ hashed AS (SELECT id, filename, sha256(filename || ':' || CAST(id AS VARCHAR)) A
 SELECT id, 's3://archive/' || h || '_' || filename AS s3_path, 'archive' AS bucket,
        h || '_' || filename AS key, filename AS original_name
 FROM hashed"""
+    q.update(_quality_and_reports(p))
+    return q
+
+
+def _count_test(name: str, sql_count: str) -> str:
+    return f"SELECT '{name}' AS test_name, CAST(({sql_count}) AS BIGINT) AS failures"
+
+
+def _quality_and_reports(p) -> dict[str, str]:
+    q: dict[str, str] = {}
+    nn = lambda model, col: _count_test(f"not_null_{model}_{col}", f"SELECT count(*) FROM {model} WHERE {col} IS NULL")
+    uq = lambda model, col: _count_test(
+        f"unique_{model}_{col}",
+        f"SELECT count(*) FROM (SELECT {col} FROM {model} WHERE {col} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+    parts = [uq("dim", "id"), nn("dim", "id"), nn("dim", "company_name")]
+    parts += [nn("fct", c) for c in ["rating_id", "company_name", "metric_name", "metric_year", "metric_year_type"]]
+    parts += [uq("stg", "id"), nn("stg", "id"), nn("stg", "company_name")]
+    q["dq_unique_not_null"] = _with(", stg AS (SELECT * FROM stg_ratings)\n" + "\nUNION ALL\n".join(parts))
+    types = ", ".join(f"'{t}'" for t in ["Actual", "Estimate", "Pro-forma", "Restated", "Forecast", "Unknown"])
+    parts = [
+        _count_test("accepted_values_fct_metric_year_type",
+                    f"SELECT count(*) FROM fct WHERE metric_year_type IS NOT NULL AND metric_year_type NOT IN ({types})"),
+        _count_test("accepted_values_stg_metrics_metric_year_type",
+                    f"SELECT count(*) FROM stg_metrics WHERE metric_year_type IS NOT NULL AND metric_year_type NOT IN ({types})"),
+        _count_test("relationships_fct_rating_id",
+                    "SELECT count(*) FROM (SELECT DISTINCT rating_id FROM fct WHERE rating_id IS NOT NULL "
+                    "AND rating_id NOT IN (SELECT id FROM dim))"),
+        _count_test("relationships_stg_metrics_rating_id",
+                    "SELECT count(*) FROM (SELECT rating_id FROM stg_metrics WHERE rating_id IS NOT NULL "
+                    "AND rating_id NOT IN (SELECT id FROM stg_ratings))"),
+    ]
+    q["dq_domain_and_fk"] = _with("\n" + "\nUNION ALL\n".join(parts))
+    q["dq_weights_sum"] = _with(f"""
+SELECT id, {_dbl('sum(CAST(w AS DECIMAL(38,18)))')} AS total_weight
+FROM stg_ratings, unnest(industry_weight) t(w)
+GROUP BY id HAVING abs(sum(CAST(w AS DECIMAL(38,18))) - 1) > 0.00001""")
+    mapped = {"Rated entity": "company_name", "CorporateSector": "corporate_sector",
+              "Country of origin": "country_of_origin", "Business risk profile": "business_risk_profile"}
+    from tessera import template as tpl
+    labels = tpl.get_template()["sections"]["evaluations_metadata"]["key_value"]
+    rows = []
+    for lab in labels:
+        col = mapped.get(lab)
+        present = (f"(SELECT count(*) FROM raw WHERE {col} IS NOT NULL AND {col} <> '')" if col else "0")
+        lab_sql = lab.replace("'", "''")
+        rows.append(f"SELECT 'evaluations_metadata' AS section, '{lab_sql}' AS field, "
+                    f"(SELECT count(*) FROM raw) AS n_uploads, CAST({present} AS BIGINT) AS n_present")
+    q["quality_report"] = _with(", fields AS (" + "\nUNION ALL\n".join(rows) + """)
+SELECT section, field, n_uploads, n_present, n_uploads - n_present AS n_missing,
+       round(CAST(n_present AS DOUBLE) / n_uploads, 6) AS completeness FROM fields""")
+    q["range_rules"] = _with("""
+SELECT id, 'industry_weight_in_0_1' AS rule, CAST(pos AS INTEGER) AS position, industry_weight[pos] AS value
+FROM stg_ratings, range(1, len(industry_weight) + 1) r(pos)
+WHERE TRY_CAST(industry_weight[pos] AS DECIMAL(38,18)) IS NULL
+   OR TRY_CAST(industry_weight[pos] AS DECIMAL(38,18)) < 0 OR TRY_CAST(industry_weight[pos] AS DECIMAL(38,18)) > 1""")
+    q["run_metrics"] = _with("""
+SELECT count(*) AS uploads, count(*) FILTER (WHERE data_quality_passed) AS passed,
+       count(*) FILTER (WHERE NOT data_quality_passed) AS failed,
+       count(*) FILTER (WHERE NOT data_quality_passed) AS errors,
+       (SELECT count(*) FROM stg_metrics) AS metric_rows
+FROM raw""")
+    q["upload_success_rate"] = _with("""
+SELECT CAST(CAST(updated_at AS DATE) AS VARCHAR) AS date, count(*) AS uploads,
+       count(*) FILTER (WHERE data_quality_passed) AS dq_passed,
+       count(*) FILTER (WHERE data_quality_passed AND business_rules_passed) AS all_passed,
+       round(CAST(count(*) FILTER (WHERE data_quality_passed AND business_rules_passed) AS DOUBLE) / count(*), 6) AS success_rate
+FROM audits GROUP BY 1""")
+    q["snapshots_page"] = _with(f"""
+SELECT * FROM (SELECT {SUMMARY13} FROM dim)
+ORDER BY sys_valid_from DESC, id DESC LIMIT {p['page_size']} OFFSET {p['page'] * p['page_size']}""")
+    q["one_big_table"] = _with(f"""
+SELECT f.rating_id, f.upload_id, f.company_name, f.corporate_sector, f.metric_name, f.metric_year,
+       f.metric_year_str, f.metric_year_type, {_dbl('f.metric_value_numeric')} AS metric_value_numeric,
+       f.metric_value_text, f.updated_at, d.version_id, d.country_of_origin, d.reporting_currency,
+       d.business_risk_profile, d.financial_risk_profile, d.sys_valid_from, d.sys_valid_to,
+       d.is_system_current, d.is_latest_version_for_business_year, d.max_actual_year
+FROM fct f JOIN dim d ON f.rating_id = d.id""")
+    attrs = ["corporate_sector", "country_of_origin", "reporting_currency", "business_risk_profile",
+             "financial_risk_profile", "end_of_business_year", "accounting_principles"]
+    lags = ", ".join(f"LAG({a}) OVER w AS prev_{a}" for a in attrs)
+    changed = " OR ".join(f"{a} IS DISTINCT FROM prev_{a}" for a in attrs)
+    q["scd_change_only"] = _with(f"""
+, l AS (
+  SELECT id, company_name, sys_valid_from AS changed_at, {", ".join(attrs)},
+         ROW_NUMBER() OVER w AS rn, {lags}
+  FROM dim WINDOW w AS (PARTITION BY company_name ORDER BY sys_valid_from, id)),
+kept AS (SELECT * FROM l WHERE rn = 1 OR {changed})
+SELECT id, company_name, changed_at AS valid_from,
+       LEAD(changed_at) OVER (PARTITION BY company_name ORDER BY changed_at, id) AS valid_to,
+       {", ".join(attrs)}
+FROM kept""")
+    q["classification_lists"] = _with("""
+SELECT DISTINCT * FROM (
+  SELECT 'company' AS list_name, company_name AS value FROM dim
+  UNION ALL SELECT 'sector', corporate_sector FROM dim
+  UNION ALL SELECT 'country', country_of_origin FROM dim
+  UNION ALL SELECT 'currency', reporting_currency FROM dim) x
+WHERE value IS NOT NULL""")
+    q["industry_risk_fact"] = _with(f"""
+SELECT id AS rating_id, company_name, CAST(pos AS BIGINT) AS position,
+       CAST(NULL AS VARCHAR) AS industry, CAST(NULL AS VARCHAR) AS score,
+       industry_weight[pos] AS weight_text,
+       {_dbl('TRY_CAST(industry_weight[pos] AS DECIMAL(38,18))')} AS weight
+FROM stg_ratings, range(1, len(industry_weight) + 1) r(pos)""")
     return q

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.plans import quality as D
 from tessera.plans import queries as Q
+from tessera.plans import reports as R
 from tessera.plans.marts import Warehouse
 from tessera.sources.fixture_ratings import raw_ratings, source_files_audit
 
@@ -29,6 +31,8 @@ PARAMS = {
     "sector": "AUTOMOBILE",
     "snapshot_id": 2,
     "upload_id": "5",
+    "page": 2,
+    "page_size": 50,
 }
 
 
@@ -93,6 +97,21 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     r["upload_detail"] = _wh(lambda w: Q.upload(w.audits, p["upload_id"]).drop("parsed_payload"))
     r["upload_file_location"] = lambda spark, sf_dir: comparable(
         Q.file_locations(source_files_audit(spark, sf_dir)))
+    # data-quality assertions
+    r["dq_unique_not_null"] = _wh(lambda w: D.summary(
+        [t for t in D.configured_tests(w) if not t[0].startswith("assert_")]))
+    r["dq_weights_sum"] = _wh(lambda w: D.weights_sum_violations(w.stg_ratings))
+    r["dq_domain_and_fk"] = _wh(lambda w: D.summary(D.described_tests(w)))
+    # reports asked for by the requirements
+    r["quality_report"] = _wh(lambda w: R.quality_report(w.raw))
+    r["range_rules"] = _wh(lambda w: R.range_rules(w.stg_ratings))
+    r["run_metrics"] = _wh(lambda w: R.run_metrics(w.raw, w.stg_metrics))
+    r["upload_success_rate"] = _wh(lambda w: R.upload_success_rate(w.audits))
+    r["snapshots_page"] = _wh(lambda w: Q.snapshots_page(w.dim, p["page"], p["page_size"]))
+    r["one_big_table"] = _wh(lambda w: R.one_big_table(w.dim, w.fct))
+    r["scd_change_only"] = _wh(lambda w: R.change_only_history(w.dim))
+    r["classification_lists"] = _wh(lambda w: R.classification_lists(w.dim))
+    r["industry_risk_fact"] = _wh(lambda w: R.industry_risk_fact(w.stg_ratings))
     return r
 
 
