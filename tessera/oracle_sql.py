@@ -265,6 +265,12 @@ SELECT id, 's3://archive/' || h || '_' || filename AS s3_path, 'archive' AS buck
        h || '_' || filename AS key, filename AS original_name
 FROM hashed"""
     q.update(_quality_and_reports(p))
+    q["incremental_delta"] = _with(f"""
+SELECT id, upload_id, updated_at, company_name, filename FROM stg_ratings
+WHERE updated_at > (SELECT max(updated_at) FROM stg_ratings WHERE updated_at < TIMESTAMP '{p['cut_2']}')""")
+    q["upsert_single_key"] = _with("SELECT id, upload_id, updated_at, company_name, filename FROM stg_ratings")
+    q["upsert_composite_key"] = _with(
+        "SELECT rating_id, metric_name, year_idx, metric_year_str, metric_value_text, updated_at FROM stg_metrics")
     return q
 
 

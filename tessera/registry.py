@@ -33,7 +33,12 @@ PARAMS = {
     "upload_id": "5",
     "page": 2,
     "page_size": 50,
+    # incremental loads: first batch before cut_2, second batch from cut_1
+    # (the overlap is re-sent and must replace, not duplicate)
+    "cut_1": "1997-01-01 00:00:00",
+    "cut_2": "1998-01-01 00:00:00",
 }
+INCREMENTAL_COLUMNS = ["id", "upload_id", "updated_at", "company_name", "filename"]
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -112,8 +117,51 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     r["scd_change_only"] = _wh(lambda w: R.change_only_history(w.dim))
     r["classification_lists"] = _wh(lambda w: R.classification_lists(w.dim))
     r["industry_risk_fact"] = _wh(lambda w: R.industry_risk_fact(w.stg_ratings))
+    r["incremental_delta"] = _incremental_delta
+    r["upsert_single_key"] = _upsert_single_key
+    r["upsert_composite_key"] = _upsert_composite_key
     return r
 
 
+def _scratch_table(spark: SparkSession, name: str):
+    import uuid
+    from tessera.operators.incremental import VersionedTable
+    return VersionedTable.in_checkpoint_dir(spark, "registry", f"{name}-{uuid.uuid4().hex}")
+
+
+def _incremental_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows a second run picks up after a first run loaded the rows
+    parsed before cut_2 (watermark = max loaded updated_at, strict >)."""
+    from tessera.operators.incremental import after_watermark
+    from tessera.plans.marts import stg_ratings
+    raw = raw_ratings(spark, sf_dir)
+    tbl = _scratch_table(spark, "delta")
+    tbl.publish(stg_ratings(raw.filter(F.col("parsed_at") < F.lit(PARAMS["cut_2"]).cast("timestamp_ntz"))))
+    delta = stg_ratings(after_watermark(raw, "parsed_at", tbl.watermark("updated_at")))
+    return comparable(delta.select(*INCREMENTAL_COLUMNS))
+
+
+def _upsert(spark, sf_dir, model, keys, newest, cols):
+    raw = raw_ratings(spark, sf_dir)
+    ts = F.col("parsed_at")
+    tbl = _scratch_table(spark, "upsert")
+    tbl.publish(model(raw.filter(ts < F.lit(PARAMS["cut_2"]).cast("timestamp_ntz"))))
+    tbl.upsert(model(raw.filter(ts >= F.lit(PARAMS["cut_1"]).cast("timestamp_ntz"))), keys, newest)
+    return comparable(tbl.read().select(*cols))
+
+
+def _upsert_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final staging ratings after two overlapping batches, key id."""
+    from tessera.plans.marts import stg_ratings
+    return _upsert(spark, sf_dir, stg_ratings, ["id"], ["updated_at", "id"], INCREMENTAL_COLUMNS)
+
+
+def _upsert_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final staging metrics, key (rating_id, metric_name, year_idx)."""
+    from tessera.plans.marts import stg_metrics
+    return _upsert(spark, sf_dir, stg_metrics, ["rating_id", "metric_name", "year_idx"], ["updated_at"],
+                   ["rating_id", "metric_name", "year_idx", "metric_year_str", "metric_value_text", "updated_at"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return _registry()
