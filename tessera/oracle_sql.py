@@ -265,6 +265,7 @@ SELECT id, 's3://archive/' || h || '_' || filename AS s3_path, 'archive' AS buck
        h || '_' || filename AS key, filename AS original_name
 FROM hashed"""
     q.update(_quality_and_reports(p))
+    q.update(_intake(p))
     q["incremental_delta"] = _with(f"""
 SELECT id, upload_id, updated_at, company_name, filename FROM stg_ratings
 WHERE updated_at > (SELECT max(updated_at) FROM stg_ratings WHERE updated_at < TIMESTAMP '{p['cut_2']}')""")
@@ -375,3 +376,43 @@ SELECT id AS rating_id, company_name, CAST(pos AS BIGINT) AS position,
        {_dbl('TRY_CAST(industry_weight[pos] AS DECIMAL(38,18))')} AS weight
 FROM stg_ratings, range(1, len(industry_weight) + 1) r(pos)""")
     return q
+
+
+FILENAME_SQL = ("CASE WHEN o_orderkey % 7 = 0 THEN 'corporates-' || CAST(o_custkey AS VARCHAR) || '.xlsm' "
+                "ELSE 'corporates_' || CAST(o_custkey AS VARCHAR) || '_' || CAST(1 + o_orderkey % 5 AS VARCHAR) "
+                "|| '.xlsm' END")
+
+
+def _intake(p) -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["register_files_first_wins"] = f"""
+WITH f AS (
+  SELECT 'doc_' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.txt' AS filename, sha256(text) AS file_hash, lang
+  FROM documents),
+b1 AS (SELECT file_hash, min(filename) AS filename FROM f WHERE lang = '{p['first_batch_lang']}' GROUP BY 1),
+a1 AS (SELECT ROW_NUMBER() OVER (ORDER BY filename, file_hash) AS id, filename, file_hash FROM b1),
+b2 AS (SELECT file_hash, min(filename) AS filename FROM f GROUP BY 1),
+n2 AS (SELECT * FROM b2 WHERE file_hash NOT IN (SELECT file_hash FROM a1)),
+a2 AS (SELECT (SELECT max(id) FROM a1) + ROW_NUMBER() OVER (ORDER BY filename, file_hash) AS id,
+              filename, file_hash FROM n2),
+a AS (SELECT * FROM a1 UNION ALL SELECT * FROM a2)
+SELECT CAST(id AS BIGINT) AS id, filename, file_hash, 's3://archive/' || file_hash || '_' || filename AS s3_path
+FROM a"""
+    q["idempotent_skip"] = f"""
+WITH f AS (SELECT o_orderkey AS id, {FILENAME_SQL} AS filename, o_orderstatus FROM orders)
+SELECT id, filename,
+       CASE WHEN o_orderstatus <> 'F' THEN 'skipped' ELSE 'failed_before' END AS status,
+       CASE WHEN o_orderstatus = 'F'
+            THEN 'Validation previously failed for spreadsheet ' || chr(39) || filename || chr(39)
+                 || ': Unexpected data point found in cell Z100: ' || chr(39) || o_orderstatus || chr(39) END
+         AS message
+FROM f"""
+    q["reprocess_match"] = f"""
+WITH f AS (SELECT o_orderkey AS id, {FILENAME_SQL} AS filename FROM orders),
+h AS (SELECT id, filename, sha256(filename || ':' || CAST(id AS VARCHAR)) AS file_hash FROM f)
+SELECT id, filename, 's3://archive/' || file_hash || '_' || filename AS s3_path
+FROM h WHERE filename GLOB '{p['reprocess_pattern']}'"""
+    q["run_summary"] = """
+SELECT CASE WHEN o_orderstatus <> 'F' THEN 'passed' ELSE 'failed' END AS status, count(*) AS files
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1"""
+    return q
