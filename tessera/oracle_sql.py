@@ -266,6 +266,7 @@ SELECT id, 's3://archive/' || h || '_' || filename AS s3_path, 'archive' AS buck
 FROM hashed"""
     q.update(_quality_and_reports(p))
     q.update(_intake(p))
+    q.update(_cells())
     q["incremental_delta"] = _with(f"""
 SELECT id, upload_id, updated_at, company_name, filename FROM stg_ratings
 WHERE updated_at > (SELECT max(updated_at) FROM stg_ratings WHERE updated_at < TIMESTAMP '{p['cut_2']}')""")
@@ -416,3 +417,82 @@ FROM h WHERE filename GLOB '{p['reprocess_pattern']}'"""
 SELECT CASE WHEN o_orderstatus <> 'F' THEN 'passed' ELSE 'failed' END AS status, count(*) AS files
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1"""
     return q
+
+
+def _cells() -> dict[str, str]:
+    from tessera import template as tpl
+    from tessera.sources import fixture_cells as fc
+    meta = tpl.get_template()["sections"]["evaluations_metadata"]
+    kv_labels = [lab for lab in meta["key_value"] if lab != fc.OPTIONAL_LEFT_OUT]
+    esc = lambda v: v.replace("'", "''")
+    values = {"Rated entity": "c_name", "CorporateSector": "c_mktsegment", "Country of origin": "n_name",
+              "Business risk profile": "o_orderpriority",
+              "Market share": "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)",
+              "Accounting principles": f"CASE WHEN id % 17 <> 0 THEN '{fc.CONSTANT_VALUES['Accounting principles']}' END"}
+    whens = " ".join(
+        f"WHEN '{esc(lab)}' THEN {values.get(lab, repr(fc.CONSTANT_VALUES.get(lab, fc.DEFAULT_VALUE)))}"
+        for lab in kv_labels)
+    label_values = ", ".join(f"('{esc(lab)}')" for lab in kv_labels)
+    base = f"""
+WITH o AS (
+  SELECT o_orderkey AS id, {FILENAME_SQL} AS filename, o_orderstatus, o_totalprice, o_orderpriority,
+         c_name, c_mktsegment, n_name
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+files AS (SELECT *, sha256(filename || ':' || CAST(id AS VARCHAR)) AS file_hash FROM o),
+valid AS (SELECT * FROM files WHERE id % 101 <> 0),
+yrs AS (
+  SELECT l_orderkey AS rid, CAST(year(l_shipdate) AS INTEGER) AS yr,
+         sum(CAST(l_quantity AS DECIMAL(18,2))) AS qty, max(CAST(l_extendedprice AS DECIMAL(18,2))) AS price
+  FROM lineitem GROUP BY 1, 2),
+ylists AS (
+  SELECT rid,
+         list(CAST(yr AS VARCHAR) || ({_list(fx.YEAR_SUFFIXES)})[CAST((rid + yr) % 8 AS INTEGER) + 1] ORDER BY yr) AS header,
+         list(CAST(qty AS VARCHAR) ORDER BY yr) AS qty,
+         list(CASE WHEN rid % 11 = 0 THEN '{fx.NOT_AVAILABLE}' ELSE CAST(price AS VARCHAR) END ORDER BY yr) AS price
+  FROM yrs GROUP BY 1)"""
+    q = {}
+    q["cells_key_value"] = base + f"""
+SELECT file_hash, filename, 'evaluations_metadata' AS section, l.label,
+       CASE l.label {whens} END AS value
+FROM valid CROSS JOIN (VALUES {label_values}) l(label)"""
+    empty = "CAST([] AS VARCHAR[])"
+    q["cells_named_list"] = base + f"""
+SELECT file_hash, filename, section, label, to_json(vals) AS "values" FROM (
+  SELECT file_hash, filename, 'evaluations_metadata' AS section, 'Rating methodologies applied' AS label,
+         ['{fc.METHODOLOGY}'] AS vals FROM valid
+  UNION ALL
+  SELECT file_hash, filename, 'evaluations_metadata', 'Industry risk',
+         CASE WHEN id % 9 = 0 THEN [c_mktsegment, NULL, '{fc.SECOND_INDUSTRY}'] ELSE [c_mktsegment] END FROM valid
+  UNION ALL
+  SELECT file_hash, filename, 'evaluations_metadata', 'Industry risk score',
+         CASE WHEN id % 9 = 0 THEN ['{fc.DEFAULT_VALUE}', NULL, '{fc.SECOND_SCORE}'] ELSE ['{fc.DEFAULT_VALUE}'] END
+  FROM valid
+  UNION ALL
+  SELECT file_hash, filename, 'evaluations_metadata', 'Industry weight',
+         CASE WHEN id % 10 = 0 THEN {_list(fx.FAILED_WEIGHTS)} WHEN id % 10 = 1 THEN {empty}
+              ELSE {_list(fx.GOOD_WEIGHTS)} END FROM valid
+  UNION ALL
+  SELECT file_hash, filename, 'credit_metrics', '{tpl.YEAR_HEADER}', COALESCE(y.header, {empty})
+  FROM valid v LEFT JOIN ylists y ON y.rid = v.id
+  UNION ALL
+  SELECT file_hash, filename, 'credit_metrics', '{fc.QTY_LABEL}', COALESCE(y.qty, {empty})
+  FROM valid v LEFT JOIN ylists y ON y.rid = v.id
+  UNION ALL
+  SELECT file_hash, filename, 'credit_metrics', '{fc.PRICE_LABEL}', COALESCE(y.price, {empty})
+  FROM valid v LEFT JOIN ylists y ON y.rid = v.id) x"""
+    q["cells_unexpected"] = base + f"""
+SELECT file_hash, filename, 100 AS "row", 26 AS col, 'Z100' AS coord, o_orderstatus AS display
+FROM valid WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT file_hash, filename, 5, 1, 'A5', '{fc.NOTE}' FROM valid WHERE id % 13 = 0"""
+    q["cells_required_missing"] = base + """
+SELECT file_hash, filename, 'evaluations_metadata' AS section, 'Accounting principles' AS label
+FROM valid WHERE id % 17 = 0"""
+    q["payload_assembled"] = base + """
+SELECT file_hash, filename,
+       CASE WHEN id % 101 = 0 THEN 'invalid_sheet' ELSE 'parsed' END AS status,
+       id % 101 <> 0 AND o_orderstatus <> 'F' AND id % 13 <> 0 AND id % 17 <> 0 AS data_quality_passed,
+       CAST(CASE WHEN id % 101 = 0 THEN 1
+            ELSE (o_orderstatus = 'F')::INT + (id % 13 = 0)::INT + (id % 17 = 0)::INT END AS INTEGER) AS n_errors
+FROM files"""
+    return q

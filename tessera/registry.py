@@ -127,12 +127,28 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     r["reprocess_match"] = lambda spark, sf_dir: comparable(
         I.reprocess_candidates(source_files_audit(spark, sf_dir), p["reprocess_pattern"]))
     r["run_summary"] = lambda spark, sf_dir: comparable(I.run_summary(_run_statuses(spark, sf_dir)))
+    # template extraction over derived sheet grids
+    r["cells_key_value"] = _cells(lambda x: x.key_values())
+    r["cells_named_list"] = _cells(lambda x: x.named_lists())
+    r["cells_unexpected"] = _cells(lambda x: x.unexpected())
+    r["cells_required_missing"] = _cells(lambda x: x.required_missing().select(
+        "file_hash", "filename", "section", "label"))
+    r["payload_assembled"] = _cells(lambda x: x.payloads().select(
+        "file_hash", "filename", "status", "data_quality_passed", F.size("errors").alias("n_errors")))
     r["incremental_delta"] = _incremental_delta
     r["upsert_single_key"] = _upsert_single_key
     r["upsert_composite_key"] = _upsert_composite_key
     return r
 
 
+def _cells(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tessera.operators.extract import Extraction
+        from tessera.sources.fixture_cells import cell_grid
+        return comparable(fn(Extraction(cell_grid(spark, sf_dir))))
+    return run
+
+
 def _register_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: register the English documents, then all documents; the audit
     after both batches."""
