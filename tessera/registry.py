@@ -135,6 +135,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "file_hash", "filename", "section", "label"))
     r["payload_assembled"] = _cells(lambda x: x.payloads().select(
         "file_hash", "filename", "status", "data_quality_passed", F.size("errors").alias("n_errors")))
+    r["workbook_cells"] = _workbook_round_trip
     r["incremental_delta"] = _incremental_delta
     r["upsert_single_key"] = _upsert_single_key
     r["upsert_composite_key"] = _upsert_composite_key
@@ -149,6 +150,14 @@ def _cells(fn):
     return run
 
 
+def _workbook_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: the derived sheet grids written as .xlsx bytes and decoded back
+    into cells by the workbook reader (rows-only check)."""
+    from tessera.sources.fixture_cells import cell_grid
+    from tessera.sources.workbook import read_cells, write_workbooks
+    return comparable(read_cells(write_workbooks(cell_grid(spark, sf_dir))))
+
+
 def _register_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: register the English documents, then all documents; the audit
     after both batches."""
