@@ -266,6 +266,7 @@ SELECT id, 's3://archive/' || h || '_' || filename AS s3_path, 'archive' AS buck
 FROM hashed"""
     q.update(_quality_and_reports(p))
     q.update(_intake(p))
+    q["landing_stream_available_now"] = q["dim_bitemporal"]
     q.update(_cells())
     q["incremental_delta"] = _with(f"""
 SELECT id, upload_id, updated_at, company_name, filename FROM stg_ratings

@@ -136,6 +136,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     r["payload_assembled"] = _cells(lambda x: x.payloads().select(
         "file_hash", "filename", "status", "data_quality_passed", F.size("errors").alias("n_errors")))
     r["workbook_cells"] = _workbook_round_trip
+    r["landing_stream_available_now"] = _landing_stream
     r["incremental_delta"] = _incremental_delta
     r["upsert_single_key"] = _upsert_single_key
     r["upsert_composite_key"] = _upsert_composite_key
@@ -158,6 +159,21 @@ def _workbook_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(read_cells(write_workbooks(cell_grid(spark, sf_dir))))
 
 
+def _landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1: raw payloads land as several Parquet files; an availableNow
+    stream (one file per micro-batch) loads them through the layered
+    publish; the result is the bitemporal dimension after the last batch."""
+    import uuid
+    from tessera.session import checkpoint_dir
+    from tessera.streaming.landing import load_raw_payloads
+    from tessera.plans.pipeline import Published
+    base = f"{checkpoint_dir(spark).rstrip('/')}/tessera/stream-{uuid.uuid4().hex}"
+    (raw_ratings(spark, sf_dir).repartitionByRange(4, "parsed_at")
+     .write.parquet(f"{base}/landing"))
+    load_raw_payloads(spark, f"{base}/landing", f"{base}/wh", f"{base}/_checkpoint", max_files_per_trigger=1)
+    return comparable(Published(spark, f"{base}/wh").dim)
+
+
 def _register_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: register the English documents, then all documents; the audit
     after both batches."""
