@@ -21,6 +21,16 @@ def test_upsert_replaces_by_key_and_dedupes_batch(spark, tmp_root):
     assert t.current_version() == 2 and t.read().count() == 3
     t.commit(v)
     assert t.read().count() == 1
+    # adding new keys only appends one part
+    assert t.upsert(spark.createDataFrame([(10, "y", 1)], "k int, v string, ts int"), ["k"], ["ts"]) == "append"
+    assert len(t.parts()) == 2 and t.read().count() == 2
+
+
+def test_compaction(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/c", max_parts=3)
+    for i in range(5):
+        t.append(spark.createDataFrame([(i,)], "k int"))
+    assert len(t.parts()) <= 3 and sorted(r.k for r in t.read().collect()) == list(range(5))
 
 
 def test_watermark_is_strict(spark):
@@ -34,9 +44,9 @@ def test_pipeline_incremental_equals_full_and_rerun_is_noop(spark, tmp_root):
     raw = raw_ratings(spark, SF_SMALL)
     raw.write.parquet(f"{tmp_root}/raw")
     raw = spark.read.parquet(f"{tmp_root}/raw")
-    pipeline.run(spark, raw.filter("parsed_at < '1997-06-01'"), f"{tmp_root}/inc")
-    pipeline.run(spark, raw, f"{tmp_root}/inc")
-    pipeline.run(spark, raw, f"{tmp_root}/inc")
+    assert not pipeline.run(spark, raw.filter("parsed_at < '1997-06-01'"), f"{tmp_root}/inc")["incremental"]
+    assert pipeline.run(spark, raw, f"{tmp_root}/inc")["incremental"]
+    assert pipeline.run(spark, raw, f"{tmp_root}/inc")["incremental"]
     pipeline.run(spark, raw, f"{tmp_root}/full")
     inc, full = pipeline.Published(spark, f"{tmp_root}/inc"), pipeline.Published(spark, f"{tmp_root}/full")
     for name in ["dim", "fct", "stg_metrics", "audits"]:
