@@ -37,17 +37,11 @@ def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col: str,
-                    value_col: str | None = None, descending: bool = False,
-                    rows_per_slice: int = ROWS_PER_SLICE,
-                    max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """``out_col`` = ``value_col`` (default ``ts_col``) of the next row within
-    ``key`` ordered by (ts_col, tie_col); ``descending=True`` orders newest
-    first, which makes this a LAG.
-
-    Rows whose ``key`` is NULL form one group, as in SQL windows.
-    """
-    value_col = value_col or ts_col
+def _hot_keys(df: DataFrame, key: str, ts_col: str, rows_per_slice: int,
+              max_hot_keys: int) -> DataFrame | None:
+    """Keys with more rows than the threshold, with their time range and
+    slice count; None when there are none. The threshold is raised so at
+    most ``max_hot_keys`` keys qualify, which bounds the table."""
     stats = (df.groupBy(key)
              .agg(F.count(F.lit(1)).alias("_n"),
                   F.min(_micros(F.col(ts_col))).alias("_lo"),
@@ -63,24 +57,44 @@ def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col:
     hot_schema = stats.select(key, "_lo", "_hi", F.lit(1).cast("bigint").alias("_slices")).schema
     stats.unpersist()
     assert len(hot_rows) <= max_hot_keys
+    if not hot_rows:
+        return None
+    return df.sparkSession.createDataFrame(hot_rows, schema=hot_schema)
+
+
+def _with_slices(df: DataFrame, hot: DataFrame, key: str, ts_col: str, descending: bool) -> DataFrame:
+    """``_slice``: 0 for normal keys; for hot keys a time bucket numbered
+    along the window order (monotone, so slices are contiguous runs)."""
+    span = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
+    dist = (F.col("_hi") - _micros(F.col(ts_col))) if descending else (_micros(F.col(ts_col)) - F.col("_lo"))
+    slice_no = F.least(F.col("_slices") - 1,
+                       F.floor(dist.cast("double") * F.col("_slices") / span)).cast("bigint")
+    return (df.join(F.broadcast(hot), on=key, how="left")  # size bounded by max_hot_keys
+            .withColumn("_slice", F.coalesce(slice_no, F.lit(0).cast("bigint")))
+            .drop("_lo", "_hi", "_slices"))
+
 
+def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col: str,
+                    value_col: str | None = None, descending: bool = False,
+                    rows_per_slice: int = ROWS_PER_SLICE,
+                    max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """``out_col`` = ``value_col`` (default ``ts_col``) of the next row within
+    ``key`` ordered by (ts_col, tie_col); ``descending=True`` orders newest
+    first, which makes this a LAG.
+
+    Rows whose ``key`` is NULL form one group, as in SQL windows.
+    """
+    value_col = value_col or ts_col
     if descending:
         order = [F.col(ts_col).desc(), F.col(tie_col).desc()]
     else:
         order = [F.col(ts_col).asc(), F.col(tie_col).asc()]
-    if not hot_rows:
+    hot = _hot_keys(df, key, ts_col, rows_per_slice, max_hot_keys)
+    if hot is None:
         w = Window.partitionBy(key).orderBy(*order)
         return df.withColumn(out_col, F.lead(value_col).over(w))
 
-    hot = df.sparkSession.createDataFrame(hot_rows, schema=hot_schema)
-    span = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
-    dist = (F.col("_hi") - _micros(F.col(ts_col))) if descending else (_micros(F.col(ts_col)) - F.col("_lo"))
-    slice_no = F.least(F.col("_slices") - 1,
-                       F.floor(dist.cast("double") * F.col("_slices") / span)).cast("bigint")
-    sliced = (df.join(F.broadcast(hot), on=key, how="left")  # size bounded by max_hot_keys
-              .withColumn("_slice", F.coalesce(slice_no, F.lit(0).cast("bigint")))
-              .drop("_lo", "_hi", "_slices"))
-
+    sliced = _with_slices(df, hot, key, ts_col, descending)
     w = Window.partitionBy(key, "_slice").orderBy(*order)
     local = (sliced.withColumn("_next", F.lead(value_col).over(w))
              .withColumn("_has_next", F.lead(F.lit(True)).over(w).isNotNull()))
@@ -100,6 +114,35 @@ def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col:
             .drop("_next", "_next_slice_first", "_slice", "_has_next"))
 
 
+def ffill_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, value_col: str,
+                     out_col: str, rows_per_slice: int = ROWS_PER_SLICE,
+                     max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """``out_col`` = the last non-NULL ``value_col`` at or before each row
+    within ``key`` ordered by (ts_col, tie_col) — a forward fill, the core
+    of an as-of join. Hot keys are sliced by time; a slice without a value
+    takes the last value of the key's earlier slices."""
+    order = [F.col(ts_col).asc(), F.col(tie_col).asc()]
+    hot = _hot_keys(df, key, ts_col, rows_per_slice, max_hot_keys)
+    if hot is None:
+        w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
+    sliced = _with_slices(df, hot, key, ts_col, False)
+    w = (Window.partitionBy(key, "_slice").orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = sliced.withColumn("_local", F.last(value_col, ignorenulls=True).over(w))
+    # one row per slice of a hot key: its last non-NULL value (if any); each
+    # slice's carry-in is the last such value of the key's earlier slices
+    slices = (sliced.join(F.broadcast(hot.select(key)), on=key, how="left_semi")
+              .groupBy(key, "_slice")
+              .agg(F.max_by(F.col(value_col), F.when(F.col(value_col).isNotNull(),
+                                                     F.struct(ts_col, tie_col))).alias("_last")))
+    carry = slices.withColumn("_in", F.last("_last", ignorenulls=True).over(
+        Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))).drop("_last")
+    return (local.join(carry, on=[key, "_slice"], how="left")
+            .withColumn(out_col, F.coalesce(F.col("_local"), F.col("_in")))
+            .drop("_local", "_in", "_slice"))
+
+
 def top1_by_group(df: DataFrame, group_cols: list[str], id_col: str, rank: Column,
                   out_col: str) -> DataFrame:
     """``out_col`` = (row is the one with the greatest ``rank`` in its group).

@@ -241,6 +241,10 @@ SELECT {SUMMARY13} FROM dim
 WHERE sys_valid_from >= TIMESTAMP '{p['from_date']}' AND sys_valid_from <= TIMESTAMP '{p['to_date']}'
   AND corporate_sector = '{p['sector']}'""")
     q["snapshots_latest"] = _with(f"SELECT {SUMMARY13} FROM dim WHERE is_system_current")
+    q["as_of_probes"] = _with("""
+SELECT r.upload_id, r.company_name, r.updated_at AS probe_at, d.id AS matched_id,
+       d.version_id AS matched_version, d.sys_valid_from AS matched_valid_from
+FROM raw r ASOF LEFT JOIN dim d ON r.company_name = d.company_name AND r.updated_at >= d.sys_valid_from""")
     q["snapshot_detail"] = _with(f"SELECT {DETAIL_FLAT} FROM details_flat WHERE id = {p['snapshot_id']}")
     q["uploads_list"] = _with("""
 SELECT CAST(upload_id AS VARCHAR) AS upload_id, filename, updated_at, data_quality_passed,

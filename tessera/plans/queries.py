@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import display_name, trunc_second, uri_bucket, uri_key
-from tessera.operators.windows import top1_rows
+from tessera.operators.windows import ffill_within_key, top1_rows
 
 SUMMARY_COLUMNS = ["company_name", "corporate_sector", "country_of_origin", "reporting_currency",
                    "business_risk_profile", "financial_risk_profile"]
@@ -85,6 +85,33 @@ def compare_as_of(details: DataFrame, company_ids, as_of) -> DataFrame:
                                 & (F.col("sys_valid_to").isNull() | (F.col("sys_valid_to") > t))))
 
 
+_LAST = 9223372036854775807  # probes sort after versions with the same time
+
+
+def as_of_probes(dim: DataFrame, probes: DataFrame, key: str = "company_name",
+                 at: str = "probe_at") -> DataFrame:
+    """For many (company, time) probes at once, the dimension version
+    valid at each probe's time (``sys_valid_from <= t < sys_valid_to``).
+
+    Versions and probes are merged into one stream per company ordered by
+    time and each probe takes the last version id before it (a skew-safe
+    forward fill), so no company ever pairs all its versions with all its
+    probes. Adds ``matched_id``, ``matched_version``, ``matched_valid_from``."""
+    pcols = probes.columns
+    v = dim.select(F.col("company_name").alias("_k"), F.col("sys_valid_from").alias("_t"),
+                   F.col("id").alias("_tie"), F.col("id").alias("_vid"))
+    p = probes.select(F.col(key).alias("_k"), F.col(at).alias("_t"),
+                      F.lit(_LAST).cast("bigint").alias("_tie"), F.lit(None).cast("bigint").alias("_vid"),
+                      F.struct(*[F.col(c) for c in pcols]).alias("_p"))
+    merged = v.unionByName(p, allowMissingColumns=True)
+    filled = ffill_within_key(merged, "_k", "_t", "_tie", "_vid", "matched_id")
+    hits = filled.filter(F.col("_p").isNotNull()).select("_p.*", "matched_id")
+    d = dim.select(F.col("id").alias("matched_id"), F.col("version_id").alias("matched_version"),
+                   F.col("sys_valid_from").alias("matched_valid_from"))
+    return hits.join(d, on="matched_id", how="left").select(
+        *pcols, "matched_id", "matched_version", "matched_valid_from")
+
+
 def _latest_business_rank() -> Column:
     # max_actual_year DESC with NULLs first; id breaks ties.
     return F.struct(F.col("max_actual_year").isNull(), F.col("max_actual_year"), F.col("id"))

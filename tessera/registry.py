@@ -101,6 +101,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     r["snapshots_filtered"] = _wh(lambda w: Q.snapshots(
         w.dim, from_date=p["from_date"], to_date=p["to_date"], sector=p["sector"]))
     r["snapshots_latest"] = _wh(lambda w: Q.snapshots_latest(w.dim))
+    r["as_of_probes"] = _wh(_upload_probes)
     r["snapshot_detail"] = _wh(lambda w: Q.flatten_details(Q.snapshot(w.details, p["snapshot_id"])))
     r["uploads_list"] = _wh(lambda w: Q.uploads(w.audits))
     r["upload_stats_by_day"] = _wh(lambda w: Q.upload_stats(w.audits))
@@ -143,6 +144,15 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return r
 
 
+def _upload_probes(w: Warehouse) -> DataFrame:
+    """Every upload (passed or not) probes the dimension at its parse
+    time: which version of its company was current when it arrived."""
+    from tessera.plans.payload import parse_payload
+    probes = parse_payload(w.raw).select(
+        "upload_id", F.col("_em")["Rated entity"].alias("company_name"), F.col("parsed_at").alias("probe_at"))
+    return Q.as_of_probes(w.dim, probes)
+
+
 def _cells(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         from tessera.operators.extract import Extraction

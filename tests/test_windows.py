@@ -36,3 +36,17 @@ def test_top1_flag(spark):
     rn = F.row_number().over(Window.partitionBy("k").orderBy(F.col("ts").desc(), F.col("id").desc()))
     want = df.withColumn("best", rn == 1)
     assert got.select("id", "best").exceptAll(want.select("id", "best")).count() == 0
+
+
+def test_ffill_matches_window(spark):
+    from tessera.operators.windows import ffill_within_key
+    df = _data(spark)
+    got = ffill_within_key(df, "k", "ts", "id", "v", "filled", rows_per_slice=100)
+    w = Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = df.withColumn("filled", F.last("v", ignorenulls=True).over(w))
+    assert got.select("id", "filled").exceptAll(want.select("id", "filled")).count() == 0
+    # sparse values: most slices of the hot key have none of their own
+    sparse = df.withColumn("v", F.when(F.col("id") % 701 == 0, F.col("id")))
+    got = ffill_within_key(sparse, "k", "ts", "id", "v", "filled", rows_per_slice=100)
+    want = sparse.withColumn("filled", F.last("v", ignorenulls=True).over(w))
+    assert got.select("id", "filled").exceptAll(want.select("id", "filled")).count() == 0
