@@ -327,6 +327,9 @@ GROUP BY id HAVING abs(sum(CAST(w AS DECIMAL(38,18))) - 1) > 0.00001""")
     q["quality_report"] = _with(", fields AS (" + "\nUNION ALL\n".join(rows) + """)
 SELECT section, field, n_uploads, n_present, n_uploads - n_present AS n_missing,
        round(CAST(n_present AS DOUBLE) / n_uploads, 6) AS completeness FROM fields""")
+    q["quality_error_kinds"] = _with("""
+SELECT 'unexpected_cell' AS kind, count(*) AS n_errors FROM raw WHERE NOT data_quality_passed
+HAVING count(*) > 0""")
     q["range_rules"] = _with("""
 SELECT id, 'industry_weight_in_0_1' AS rule, CAST(pos AS INTEGER) AS position, industry_weight[pos] AS value
 FROM stg_ratings, range(1, len(industry_weight) + 1) r(pos)

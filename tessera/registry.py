@@ -115,6 +115,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     r["dq_domain_and_fk"] = _wh(lambda w: D.summary(D.described_tests(w)))
     # reports asked for by the requirements
     r["quality_report"] = _wh(lambda w: R.quality_report(w.raw))
+    r["quality_error_kinds"] = _wh(lambda w: R.error_kinds(w.raw))
     r["range_rules"] = _wh(lambda w: R.range_rules(w.stg_ratings))
     r["run_metrics"] = _wh(lambda w: R.run_metrics(w.raw, w.stg_metrics))
     r["upload_success_rate"] = _wh(lambda w: R.upload_success_rate(w.audits))
