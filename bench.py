@@ -31,6 +31,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="tessera-bench")
+    from tessera.session import size_shuffle_partitions
+    from tessera.sources.tables import TABLES, table_path
+    size_shuffle_partitions(spark, [table_path(sf_dir, t) for t in TABLES], minimum=int(cpus) * 2)
     import uuid
     # scratch tables under the session's shared checkpoint folder
     root = f"{checkpoint_dir(spark).rstrip('/')}/tessera-bench-{uuid.uuid4().hex}"
