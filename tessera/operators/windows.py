@@ -76,7 +76,7 @@ def _with_slices(df: DataFrame, hot: DataFrame, key: str, ts_col: str, descendin
 
 def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col: str,
                     value_col: str | None = None, descending: bool = False,
-                    rows_per_slice: int = ROWS_PER_SLICE,
+                    rows_per_slice: int | None = None,
                     max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """``out_col`` = ``value_col`` (default ``ts_col``) of the next row within
     ``key`` ordered by (ts_col, tie_col); ``descending=True`` orders newest
@@ -85,6 +85,7 @@ def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col:
     Rows whose ``key`` is NULL form one group, as in SQL windows.
     """
     value_col = value_col or ts_col
+    rows_per_slice = rows_per_slice or ROWS_PER_SLICE
     if descending:
         order = [F.col(ts_col).desc(), F.col(tie_col).desc()]
     else:
@@ -115,12 +116,13 @@ def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col:
 
 
 def ffill_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, value_col: str,
-                     out_col: str, rows_per_slice: int = ROWS_PER_SLICE,
+                     out_col: str, rows_per_slice: int | None = None,
                      max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """``out_col`` = the last non-NULL ``value_col`` at or before each row
     within ``key`` ordered by (ts_col, tie_col) — a forward fill, the core
     of an as-of join. Hot keys are sliced by time; a slice without a value
     takes the last value of the key's earlier slices."""
+    rows_per_slice = rows_per_slice or ROWS_PER_SLICE
     order = [F.col(ts_col).asc(), F.col(tie_col).asc()]
     hot = _hot_keys(df, key, ts_col, rows_per_slice, max_hot_keys)
     if hot is None:
