@@ -127,7 +127,8 @@ details_flat AS (
 audits AS (
   SELECT upload_id, updated_at, filename, parser_sha, schema_sha, data_quality_passed,
          COALESCE(ABS((SELECT COALESCE(SUM(CAST(w AS DECIMAL(38,18))), 0) FROM unnest(industry_weight) t(w)) - 1.0) <= 0.00001, false)
-           AS business_rules_passed
+           AS business_rules_passed,
+         true AS payload_well_formed
   FROM raw
 )"""
 
@@ -190,7 +191,8 @@ SELECT id, version_id, company_name, corporate_sector, country_of_origin, report
        max_actual_year, metric_name, metric_value, metric_value_text, metric_year, metric_year_type
 FROM details_flat""")
     q["upload_audits"] = _with("""
-SELECT upload_id, updated_at, filename, parser_sha, schema_sha, data_quality_passed, business_rules_passed
+SELECT upload_id, updated_at, filename, parser_sha, schema_sha, data_quality_passed, business_rules_passed,
+       payload_well_formed
 FROM audits""")
     q["companies_current"] = _with("""
 SELECT company_name, corporate_sector, country_of_origin, reporting_currency, business_risk_profile,

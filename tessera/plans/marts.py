@@ -18,7 +18,7 @@ from tessera.functions.columns import (ACTUAL, leading_int, round4, safe_numeric
                                        sum_as_numeric, version_from_filename, year_type)
 from tessera.operators.windows import lead_within_key, top1_by_group
 from tessera.plans.payload import (LIST_FIELDS, METADATA_FIELDS, WEIGHT_LABEL, list_field,
-                                   meta_field, metric_lists, parse_payload, year_header)
+                                   meta_field, metric_lists, parse_payload, payload_ok, year_header)
 
 STG_RATINGS_COLUMNS = (["id", "upload_id", "updated_at"]
                        + [c for _, c in METADATA_FIELDS] + [c for _, c in LIST_FIELDS]
@@ -43,8 +43,10 @@ METRIC_STRUCT = "struct<name:string,value:decimal(25,4),text_value:string,year:i
 
 
 def stg_ratings(raw: DataFrame) -> DataFrame:
-    """T-1: typed, passed-only ratings (one row per raw rating)."""
-    p = parse_payload(raw).filter(F.col("data_quality_passed"))
+    """T-1: typed, passed-only ratings (one row per raw rating). Payloads
+    whose configured lists are not JSON arrays are quarantined: they stay
+    out of staging and show ``payload_well_formed = false`` in the audit."""
+    p = parse_payload(raw).filter(F.col("data_quality_passed") & payload_ok())
     em = F.col("_em")
     return p.select(
         F.col("id"), F.col("upload_id"), F.col("parsed_at").alias("updated_at"),
@@ -59,8 +61,9 @@ def stg_ratings(raw: DataFrame) -> DataFrame:
 
 def stg_metrics(raw: DataFrame) -> DataFrame:
     """T-2: one row per (rating, metric, year position) with the year header
-    text at the same position; positions past the header are dropped."""
-    p = (parse_payload(raw).filter(F.col("data_quality_passed"))
+    text at the same position; positions past the header are dropped.
+    Quarantined payloads (see ``stg_ratings``) are left out here too."""
+    p = (parse_payload(raw).filter(F.col("data_quality_passed") & payload_ok())
          .select(F.col("id").alias("rating_id"), "upload_id",
                  F.col("parsed_at").alias("updated_at"),
                  year_header().alias("_years"),
@@ -149,6 +152,7 @@ def upload_audits(raw: DataFrame) -> DataFrame:
         meta_field("schema_sha").alias("schema_sha"),
         "data_quality_passed",
         rules.alias("business_rules_passed"),
+        payload_ok().alias("payload_well_formed"),
         "parsed_payload",
     )
 

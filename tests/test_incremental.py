@@ -86,3 +86,32 @@ def test_dim_with_every_company_sliced_equals_plain(spark, monkeypatch):
     sliced = build()
     for a, b in zip(plain, sliced):
         assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_safe_watermark_keeps_rows_sharing_the_last_timestamp(spark):
+    from tessera.operators.incremental import at_or_after_watermark
+    import datetime as dt
+    loaded = spark.createDataFrame([(1, "2024-01-01 00:00:00")], "id int, ts string").select(
+        "id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    batch = spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:00:00"),
+                                   (3, "2023-12-31 00:00:00")], "id int, ts string").select(
+        "id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    wm = dt.datetime(2024, 1, 1)
+    assert after_watermark(batch, "ts", wm).count() == 0  # the reference's strict '>' skips id 2
+    assert [r.id for r in at_or_after_watermark(batch, "ts", wm, loaded, ["id"]).collect()] == [2]
+
+
+def test_malformed_list_is_quarantined(spark):
+    import json
+    from tessera.plans import marts as M
+    good = {"evaluations_metadata": {"Rated entity": "A", "Industry weight": ["0.5", "0.5"]},
+            "credit_metrics": {}, "_meta": {"data_quality_passed": True, "filename": "a_1.xlsm"}}
+    bad = json.loads(json.dumps(good))
+    bad["evaluations_metadata"]["Industry weight"] = "0.5"
+    raw = spark.createDataFrame([(1, 1, json.dumps(good), "2024-01-01 00:00:00"),
+                                 (2, 2, json.dumps(bad), "2024-01-02 00:00:00")],
+                                "id long, upload_id long, parsed_payload string, parsed_at string").withColumn(
+        "parsed_at", F.col("parsed_at").cast("timestamp_ntz"))
+    assert [r.id for r in M.stg_ratings(raw).collect()] == [1]
+    flags = {r.upload_id: r.payload_well_formed for r in M.upload_audits(raw).collect()}
+    assert flags == {1: True, 2: False}
