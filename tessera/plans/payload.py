@@ -54,7 +54,11 @@ TOP = "struct<evaluations_metadata:string,credit_metrics:string,unexpected_cells
 
 def parse_payload(raw: DataFrame, payload_col: str = "parsed_payload") -> DataFrame:
     """Adds ``_em`` (metadata map), ``_cm`` (metrics map), ``_meta`` (map),
-    ``_uc`` (unexpected cells map) and ``data_quality_passed``."""
+    ``_uc`` (unexpected cells map) and ``data_quality_passed``. Frames that
+    were already parsed are returned as they are, so one parse can feed
+    several models."""
+    if "_em" in raw.columns:
+        return raw
     top = F.from_json(F.col(payload_col), TOP)
     return (raw.withColumn("_top", top)
             .withColumn("_em", F.from_json(F.col("_top.evaluations_metadata"), SMAP))

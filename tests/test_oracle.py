@@ -18,7 +18,7 @@ from conftest import SF_SMALL  # noqa: E402
 QUICK = ["stg_metrics_long", "dim_bitemporal", "fct_metrics_rounded", "company_details_nested",
          "upload_audits", "compare_business_year", "company_latest", "dq_unique_not_null",
          "scd_change_only", "register_files_first_wins", "cells_named_list", "payload_assembled",
-         "upsert_composite_key"]
+         "upsert_composite_key", "as_of_probes"]
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("TESSERA_FULL_ORACLE") else QUICK
 
 
