@@ -101,3 +101,17 @@ def uri_key(path) -> Column:
 def display_name(key) -> Column:
     """Archive key ``<sha>_<original name>`` -> original name."""
     return F.regexp_replace(_c(key), r"^[^_]*_", "")
+
+
+def a1_coord(col, row) -> Column:
+    """A1 coordinate from column and row numbers (columns up to XFD and
+    beyond, three letters): bijective base 26."""
+    n = _c(col).cast("long")
+    a = F.floor((n - 1) / 26)
+    b = F.floor((a - 1) / 26)
+
+    def letter(k):
+        return F.chr(F.lit(65) + k % 26)
+    return F.concat(F.when(b > 0, letter(b - 1)).otherwise(F.lit("")),
+                    F.when(a > 0, letter(a - 1)).otherwise(F.lit("")),
+                    letter(n - 1), _c(row).cast("string"))

@@ -54,3 +54,10 @@ def test_template_lint():
     assert tpl.range_bounds("M35:M41") == (13, 35, 13, 41)
     assert tpl.range_bounds("C:D") == (3, None, 4, None)
     assert len(tpl.template_sha(tpl.get_template())) == 64
+
+
+@pytest.mark.parametrize("col,row,coord", [(1, 1, "A1"), (26, 100, "Z100"), (27, 5, "AA5"), (702, 2, "ZZ2"),
+                                           (703, 3, "AAA3"), (16384, 7, "XFD7")])
+def test_a1_coord(spark, col, row, coord):
+    r = spark.createDataFrame([(col, row)], "c int, r int").select(C.a1_coord("c", "r").alias("a")).first()
+    assert r.a == coord
