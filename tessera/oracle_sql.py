@@ -498,6 +498,14 @@ SELECT file_hash, filename, 5, 1, 'A5', '{fc.NOTE}' FROM valid WHERE id % 13 = 0
     q["cells_required_missing"] = base + """
 SELECT file_hash, filename, 'evaluations_metadata' AS section, 'Accounting principles' AS label
 FROM valid WHERE id % 17 = 0"""
+    q["extraction_error_kinds"] = base + """
+SELECT kind, n_errors FROM (
+  SELECT 'unexpected_cell' AS kind,
+         (SELECT count(*) FROM valid WHERE o_orderstatus = 'F') + (SELECT count(*) FROM valid WHERE id % 13 = 0)
+           AS n_errors
+  UNION ALL SELECT 'missing_field', (SELECT count(*) FROM valid WHERE id % 17 = 0)
+  UNION ALL SELECT 'invalid_sheet', (SELECT count(*) FROM files WHERE id % 101 = 0)) x
+WHERE n_errors > 0"""
     q["payload_assembled"] = base + """
 SELECT file_hash, filename,
        CASE WHEN id % 101 = 0 THEN 'invalid_sheet' ELSE 'parsed' END AS status,

@@ -48,9 +48,15 @@ def quality_report(raw: DataFrame, schema_type: str = tpl.DEFAULT_TYPE,
 def error_kinds(raw: DataFrame) -> DataFrame:
     """R1 (errors): validation messages per kind over all uploads."""
     p = parse_payload(raw)
-    errs = p.select(F.explode(F.from_json(meta_field("data_quality_errors"), "array<string>")).alias("e"))
+    return error_kinds_of(p.select(F.from_json(meta_field("data_quality_errors"), "array<string>").alias("e")), "e")
+
+
+def error_kinds_of(df: DataFrame, errors_col: str) -> DataFrame:
+    """Messages per kind from an ARRAY<STRING> column of error lists."""
+    errs = df.select(F.explode(errors_col).alias("e"))
     kind = (F.when(F.col("e").startswith("Unexpected data point"), "unexpected_cell")
             .when(F.col("e").startswith("Missing required field"), "missing_field")
+            .when(F.col("e").startswith("Invalid spreadsheet"), "invalid_sheet")
             .otherwise("other"))
     return errs.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_errors"))
 

@@ -135,6 +135,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     r["cells_unexpected"] = _cells(lambda x: x.named(x.unexpected()))
     r["cells_required_missing"] = _cells(lambda x: x.named(x.required_missing()).select(
         "file_hash", "filename", "section", "label"))
+    r["extraction_error_kinds"] = _cells(lambda x: R.error_kinds_of(x.payloads(), "errors"))
     r["payload_assembled"] = _cells(lambda x: x.payloads().select(
         "file_hash", "filename", "status", "data_quality_passed", F.size("errors").alias("n_errors")))
     r["workbook_cells"] = _workbook_round_trip
