@@ -3,5 +3,25 @@
 from __future__ import annotations
 
 
+from tessera.llm.registry import BLOCKED_NAMES, URL_RULES
+
+
+def _url_filter() -> str:
+    rules = ", ".join(f"('{r}', '{v}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}')" for r, v in URL_RULES)
+    return f"""
+WITH parts AS (
+  SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, row_number() OVER () AS rn FROM parts),
+rules(rule, verdict, rhost, rpath) AS (VALUES {rules}),
+fits AS (
+  SELECT s.rn, r.rule, r.verdict, row_number() OVER (PARTITION BY s.rn ORDER BY length(r.rule) DESC) AS k
+  FROM split s JOIN rules r ON (s.host = r.rhost OR ends_with(s.host, '.' || r.rhost)) AND starts_with(s.path, r.rpath))
+SELECT s.page_id, s.host, s.path, f.rule,
+       coalesce(f.verdict, CASE WHEN regexp_matches(s.host, '(^|\\.)({"|".join(BLOCKED_NAMES)})(\\.|$)') THEN 'block' ELSE 'allow' END) AS verdict
+FROM split s LEFT JOIN fits f ON f.rn = s.rn AND f.k = 1"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {}
+    return {"op1_url_filter": _url_filter()}

@@ -21,6 +21,26 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+# Rules of the URL query, and names of hosts whose pages make up its list.
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+             ("net/es/", "block"), ("net/fr/", "block")]
+BLOCKED_NAMES = ["spam-farm", "cheap-pills", "casino-win", "adult-x", "free-bets", "ads-track"]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL against the rules and a list of URLs: those of the
+    pages on hosts with a blocked name."""
+    from tessera.llm import url_filter as u
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = u.with_parts(pages).filter(F.col("host").rlike(r"(^|\.)(" + "|".join(BLOCKED_NAMES) + r")(\.|$)")).select("url")
+    return u.filter_urls(pages, u.rule_table(spark, URL_RULES), listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.source_mix import mix
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced (test: brute force)."""
     from tessera.llm.pii import pseudonymise
@@ -38,10 +58,16 @@ def op7_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.sharding import shard
+    return shard(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.bpe import encode
     return encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), ids=False, digests=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_pii_pseudonyms, op5_toxicity, op7_quality_votes, op9_bpe)}
+    return {f.__name__: f for f in (
+        op1_url_filter, op2_source_mix, op3_pii_pseudonyms, op5_toxicity, op7_quality_votes, op8_sharding, op9_bpe)}
