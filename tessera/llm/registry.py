@@ -68,6 +68,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), ids=False, digests=True)
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.lm import lm_scores
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_url_filter, op2_source_mix, op3_pii_pseudonyms, op5_toxicity, op7_quality_votes, op8_sharding, op9_bpe)}
+        op1_url_filter, op2_source_mix, op3_pii_pseudonyms, op5_toxicity, op7_quality_votes, op8_sharding, op9_bpe, op10_lm_scores)}
