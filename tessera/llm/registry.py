@@ -47,6 +47,11 @@ def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.jaccard_join import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.toxicity import toxicity
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -75,4 +80,4 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_url_filter, op2_source_mix, op3_pii_pseudonyms, op5_toxicity, op7_quality_votes, op8_sharding, op9_bpe, op10_lm_scores)}
+        op1_url_filter, op2_source_mix, op3_pii_pseudonyms, op4_jaccard_join, op5_toxicity, op7_quality_votes, op8_sharding, op9_bpe, op10_lm_scores)}
