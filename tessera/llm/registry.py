@@ -57,6 +57,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.ann import nearest_neighbours
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.quality import judge
     return judge(table(spark, sf_dir, "documents")).select(
@@ -80,4 +85,4 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_url_filter, op2_source_mix, op3_pii_pseudonyms, op4_jaccard_join, op5_toxicity, op7_quality_votes, op8_sharding, op9_bpe, op10_lm_scores)}
+        op1_url_filter, op2_source_mix, op3_pii_pseudonyms, op4_jaccard_join, op5_toxicity, op6_nearest_neighbours, op7_quality_votes, op8_sharding, op9_bpe, op10_lm_scores)}
