@@ -132,8 +132,17 @@ def mix(docs: DataFrame, block: int = BLOCK, epochs: int = EPOCHS, seed: int = 2
 
 def repeat_to_mix(docs: DataFrame, block: int = BLOCK, epochs: int = EPOCHS) -> DataFrame:
     """The documents as the mix takes them: each as often as it is begun (a
-    text cut by its source's target stays whole; at most one per source)."""
-    mixed = mix(docs, block, epochs, keep=docs.columns)
-    copies = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    return (mixed.withColumn("_copies", copies).filter("_copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))
+    text cut by its source's target stays whole; at most one per source).
+    Texts meet their number of copies by id and hash of the text."""
+    keyed = docs.withColumn("_text", F.xxhash64("text"))
+    mixed = mix(keyed, block, epochs, keep=["doc_id", "_text"])
+    copies = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0).cast("long")
+    plan = written(mixed.groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_t"))
+                   .agg(F.sum(copies).alias("_copies"), F.count(F.lit(1)).alias("_rows")).filter("_copies > 0"), "mix-copies")
+    got = keyed.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t")))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
+    own = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    once = got.filter("_rows = 1").withColumn("_copy", again).select(*own)
+    if plan.filter("_rows > 1").limit(1).count() == 0:  # no rows that are equal in id and text
+        return once
+    return once.unionByName(got.filter("_rows > 1").dropDuplicates(["_id", "_t"]).withColumn("_copy", again).select(*own))
