@@ -12,7 +12,7 @@ The model is fitted on a bounded sample: at most ``max_each`` rows per class
 (default 2,000), the first by a hash of id and text. Scoring reads all
 rows: one pass without a shuffle, the model's n-gram weights (1 MB) are
 broadcast. Empty, null and blank texts have no bag and get the score of the
-empty bag (the softmax bias, below 0.7). Rows with a null id, repeated rows
+empty bag (the softmax bias), 0.5 at most. Rows with a null id, repeated rows
 and extra columns are scored like any other; a label that occurs more than
 once for an id counts as toxic if any of them is. Without any usable label of both classes
 every text scores 0.
@@ -33,6 +33,7 @@ SIZES = (3, 4, 5, 6)  # bytes of the n-grams, word borders included
 WINDOW, STEP = 8, 4
 MAX_EACH = 2_000
 THRESHOLD = 0.7
+SURE, START = 2.0, 2.0
 
 U32 = np.uint32
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -140,19 +141,40 @@ class Model:
         step = rate * float(g.mean())
         self.bias += np.array([step, -step], dtype=np.float32)
 
+    def start(self, prepared: list[tuple["Bags", np.ndarray]]) -> None:
+        """First direction of the embeddings: n-grams move along the
+        softmax's class difference by their log odds between texts of the
+        two classes, as far as that exceeds ``SURE`` standard errors."""
+        df = np.full((2, 1 << BITS), 0.25)
+        n = np.full(2, 0.5)
+        for bags, label in prepared:
+            row = np.repeat(bags.words.row, np.diff(np.append(bags.border, len(bags.valid[0])))) if len(bags.border) else np.zeros(0, int)
+            lead = int(bags.border[0]) if len(bags.border) else 0
+            seen = [(row.astype(np.int64) << BITS | b[lead:].astype(np.int64))[ok[lead:]] for b, ok in zip(bags.buckets, bags.valid)]
+            seen = np.unique(np.concatenate(seen)) if seen else np.zeros(0, np.int64)
+            for y in (0, 1):
+                df[y] += np.bincount(seen[label[seen >> BITS] == y] & ((1 << BITS) - 1), minlength=1 << BITS)
+                n[y] += (label == y).sum()
+        odds = np.log(df[1] / n[1]) - np.log(df[0] / n[0])
+        error = np.sqrt(1 / df[0] + 1 / df[1])
+        odds = np.sign(odds) * np.maximum(0, np.abs(odds) - SURE * error)
+        d = self.softmax[1] - self.softmax[0]
+        self.embedding += (odds[:, None] * d / float(d @ d) * START).astype(np.float32)
+
     def raw(self, texts: pa.Array) -> np.ndarray:
         """Logit of the most toxic bag of each text (the bias without one)."""
         w, bias = self.weight(), float(self.bias[1] - self.bias[0])
-        return raw_logits(texts, w, bias)
+        x = raw_logits(texts, w, bias)
+        return np.where(np.isinf(x), bias, x)
 
 
 def raw_logits(texts: pa.Array, weight: np.ndarray, bias: float) -> np.ndarray:
+    """Logit of the most toxic bag of each text, minus infinity without one."""
     out = []
     for _, data, offsets in _text.slices(texts):
         row, _, _, logit = Bags(data, offsets).logits(weight, bias)
         best = np.full(len(offsets) - 1, -np.inf)
         np.maximum.at(best, row, logit)
-        best[np.isinf(best)] = min(bias, 0.0)
         out.append(best)
     return np.concatenate(out) if out else np.zeros(0)
 
@@ -170,26 +192,21 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, seed: int = 11)
         rows = order[i:i + 64]
         data, offsets = next((d, o) for _, d, o in _text.slices(pa.array([texts[j] for j in rows], pa.string()), 1 << 40))
         prepared.append((Bags(data, offsets), labels[rows]))
-    rate_of = [1.0, 1.0] + [0.5] * (epochs - 2)
     positive = max(1, int(labels[fit].sum()))
     balance = np.array([1.0, max(0.2, (len(fit) - positive) / positive)])
+    model.start(prepared)
     for epoch in range(epochs):
-        w, bias = model.weight(), float(model.bias[1] - model.bias[0])
+        rate = 0.5 if epoch < epochs - 2 else 0.2
         for bags, label in prepared:
-            row, a, b, logit = bags.logits(w, bias)
+            row, a, b, logit = bags.logits(model.weight(), float(model.bias[1] - model.bias[0]))
             if not len(row):
                 continue
-            if epoch < 2:  # all kinds of bags: the rows' labels give a first direction
-                pick = np.flatnonzero(r.random(len(row)) < np.minimum(1.0, 24 / bags.words.count[row] * STEP))
-            else:  # the most toxic bags stand for their text
-                best = np.lexsort((-logit, row))
-                nth = np.arange(len(row)) - np.searchsorted(row[best], row[best])
-                pick = best[nth < np.where(label[row[best]] == 1, 1, 3)]
-            if len(pick):
-                y = label[row[pick]].astype(np.float32)
-                model.step([bags.members(a[j], b[j]) for j in pick], y, balance[y.astype(int)], rate_of[epoch])
-                if epoch >= 2:
-                    w, bias = model.weight(), float(model.bias[1] - model.bias[0])
+            # the most toxic bags stand for their text
+            best = np.lexsort((-logit, row))
+            nth = np.arange(len(row)) - np.searchsorted(row[best], row[best])
+            pick = best[nth < np.where(label[row[best]] == 1, 1, 3)]
+            y = label[row[pick]].astype(np.float32)
+            model.step([bags.members(a[j], b[j]) for j in pick], y, balance[y.astype(int)], rate)
     check = np.flatnonzero(aside) if aside.any() else fit
     model.scale, model.shift = calibrate(model.raw(pa.array([texts[i] for i in check], pa.string())), labels[check])
     return model
@@ -197,16 +214,19 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, seed: int = 11)
 
 def calibrate(logit: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Logistic regression on one input (Newton steps, ridge on the slope);
-    the slope stays positive."""
+    the slope stays positive. The rarer toxic rows weigh more, by the root
+    of the classes' ratio."""
     spread = float(logit.std()) or 1.0
     mid = float(logit.mean())
     x = (logit - mid) / spread
     w = np.array([1.0, 0.0])
     X = np.stack([x, np.ones_like(x)], 1)
+    positive = max(1, int(label.sum()))
+    c = np.where(label == 1, np.sqrt(max(1.0, (len(label) - positive) / positive)), 1.0)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(X @ w, -30, 30)))
-        h = (X * (p * (1 - p))[:, None]).T @ X + np.diag([0.5, 1e-3])
-        w = w - np.linalg.solve(h, X.T @ (p - label) + np.array([0.5 * (w[0] - 1), 0]))
+        h = (X * (c * p * (1 - p))[:, None]).T @ X + np.diag([0.5, 1e-3])
+        w = w - np.linalg.solve(h, X.T @ (c * (p - label)) + np.array([0.5 * (w[0] - 1), 0]))
     slope = max(1e-3, w[0]) / spread
     return slope, float(w[1] - slope * mid)
 
@@ -258,7 +278,9 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", name: str =
         weight, bias, scale, shift = shared.value
         for batch in batches:
             x = raw_logits(batch.column(at).cast(pa.string()), weight, bias)
-            s = 1 / (1 + np.exp(-np.clip(scale * x + shift, -30, 30)))
+            none = np.isinf(x)
+            s = 1 / (1 + np.exp(-np.clip(scale * np.where(none, bias, x) + shift, -30, 30)))
+            s[none] = np.minimum(s[none], 0.5)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())],
                                              names=[f.name for f in schema.fields])
 
