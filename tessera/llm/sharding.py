@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from tessera.llm._prefix import running_sum
 from tessera.llm._store import written
 
-ROUNDS = 3
+ROUNDS = 5
+SLACK = 1.15  # shards may be fuller by this factor between rounds
 BUCKET = 256
 
 
@@ -95,7 +96,7 @@ def shard(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) -> DataFrame:
     linked = links.select(F.col("a").alias("_row")).unionByName(links.select(F.col("b").alias("_row"))).distinct()
     start = F.pmod(F.xxhash64("_row", F.lit(3)), F.lit(shards)).cast("int")
     nodes = rows.join(linked, "_row").select("_row", "_key", start.alias("shard"))
-    nodes = propagate(nodes, links, shards, count // shards, rounds)
+    nodes = propagate(nodes, links, shards, int(SLACK * count / shards) + 1, rounds)
     # every shard keeps at most its share of linked documents; all others
     # fill the shards up in the order of a hash
     share = [count // shards + (s < count % shards) for s in range(shards)]
