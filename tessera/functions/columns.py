@@ -74,14 +74,15 @@ def text_array(json_array_text) -> Column:
 
 def sum_as_numeric(arr) -> Column:
     """Per-row sum of a text array as DECIMAL; empty/missing -> 0. Elements
-    that are not numbers give NULL for the row (the strict cast raises in the
-    reference; here the row is flagged instead of failing the job)."""
+    that are not numbers and sums beyond the type give NULL for the row (the
+    strict cast raises in the reference; here the row is flagged instead of
+    failing the job)."""
     zero = F.lit(0).cast("decimal(38,18)")
     return F.aggregate(
         F.coalesce(_c(arr), F.array().cast("array<string>")),
         zero,
-        lambda acc, x: (acc + F.when(x.isNull(), zero).otherwise(x.try_cast("decimal(38,18)")))
-        .cast("decimal(38,18)"),
+        lambda acc, x: F.try_add(acc, F.when(x.isNull(), zero).otherwise(x.try_cast("decimal(38,18)")))
+        .try_cast("decimal(38,18)"),
     )
 
 
@@ -91,11 +92,14 @@ def trunc_second(ts) -> Column:
 
 
 def uri_bucket(path) -> Column:
-    return F.parse_url(_c(path), F.lit("HOST"))
+    """Host of ``scheme://host/key``. Cut by position, not parsed: names may
+    hold blanks, percent signs and other characters a URI parser rejects."""
+    return F.nullif(F.regexp_extract(_c(path), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
 
 
 def uri_key(path) -> Column:
-    return F.regexp_replace(F.parse_url(_c(path), F.lit("PATH")), r"^/+", "")
+    """Path of ``scheme://host/key`` without leading slashes (up to ? or #)."""
+    return F.regexp_extract(_c(path), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?/*([^?#]*)", 1)
 
 
 def display_name(key) -> Column:

@@ -83,11 +83,13 @@ def list_ok(label: str, section_map: str = "_em") -> Column:
 
 
 def payload_ok() -> Column:
-    """False when a configured list is present but is not a JSON array."""
+    """False when a configured list, a metric or the year header is present
+    but is not a JSON array."""
     ok = F.lit(True)
     for label, _ in LIST_FIELDS:
         ok = ok & list_ok(label)
-    return ok
+    metrics = F.map_values(F.col("_cm"))
+    return ok & F.coalesce(F.forall(metrics, lambda v: v.isNull() | F.from_json(v, "array<string>").isNotNull()), F.lit(True))
 
 
 def metric_lists() -> Column:

@@ -96,8 +96,11 @@ def as_of_probes(dim: DataFrame, probes: DataFrame, key: str = "company_name",
     Versions and probes are merged into one stream per company ordered by
     time and each probe takes the last version id before it (a skew-safe
     forward fill), so no company ever pairs all its versions with all its
-    probes. Adds ``matched_id``, ``matched_version``, ``matched_valid_from``."""
+    probes. Adds ``matched_id``, ``matched_version``, ``matched_valid_from``.
+    Probes without a company match nothing (an equi join's rule)."""
     pcols = probes.columns
+    blank = probes.filter(F.col(key).isNull())
+    dim, probes = dim.filter(F.col("company_name").isNotNull()), probes.filter(F.col(key).isNotNull())
     v = dim.select(F.col("company_name").alias("_k"), F.col("sys_valid_from").alias("_t"),
                    F.col("id").alias("_tie"), F.col("id").alias("_vid"))
     p = probes.select(F.col(key).alias("_k"), F.col(at).alias("_t"),
@@ -109,7 +112,7 @@ def as_of_probes(dim: DataFrame, probes: DataFrame, key: str = "company_name",
     d = dim.select(F.col("id").alias("matched_id"), F.col("version_id").alias("matched_version"),
                    F.col("sys_valid_from").alias("matched_valid_from"))
     return hits.join(d, on="matched_id", how="left").select(
-        *pcols, "matched_id", "matched_version", "matched_valid_from")
+        *pcols, "matched_id", "matched_version", "matched_valid_from").unionByName(blank, allowMissingColumns=True)
 
 
 def _latest_business_rank() -> Column:
