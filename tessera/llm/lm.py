@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tessera.llm import _text
 from tessera.llm._store import text_bytes, written
 
-BLOCK = 16 << 20  # bytes of text per block and per part
+BLOCK = 8 << 20  # bytes of text per block and per part
 FOLDS, HELD_OUT, DELETED = 7, 2, 5
 BUCKETS = 48  # of context frequencies: 0, then powers of two
 STEP = 4  # quantisation of ratios: quarter octaves
