@@ -2,17 +2,15 @@
 the rows.
 
 ``lead_within_key`` computes ``LEAD(value) OVER (PARTITION BY key ORDER BY
-order_cols)`` without sending a hot key to a single task:
-
-1. per-key row counts and time range, partially aggregated map-side;
-2. keys above a threshold are split into time slices (the slice number is
-   monotone in the order column, so slices are contiguous runs of the key's
-   order); the threshold is raised until at most ``max_hot_keys`` keys are
-   hot, which bounds the broadcast slice table by construction;
-3. the window runs over ``(key, slice)``, each slice at most about
-   ``rows_per_slice`` rows (unless many rows share one timestamp);
-4. the last row of a slice takes the first value of the key's next
-   non-empty slice, looked up in a table with one row per slice.
+order_cols)`` and ``ffill_within_key`` a forward fill, on one path for every
+key, hot or not, NULL included:
+
+1. rows are range-partitioned by (key, order columns) and written with
+   their partition's number, so a key with many rows, a burst on one day or
+   one shared timestamp simply spans several partitions;
+2. the window runs over the rows of a key in one partition;
+3. where a key spans partitions, the borders are patched from a table with
+   one row per such key and partition, by a join on the written number.
 
 ``top1_by_group`` marks the best row per group with an aggregate
 (``max_by``, partial-aggregated before the shuffle) and a join back on the
@@ -21,63 +19,47 @@ row id, which is unique and therefore evenly hashed.
 
 from __future__ import annotations
 
-import math
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-ROWS_PER_SLICE = 2_000_000
-MAX_HOT_KEYS = 10_000
-
-
-def _micros(ts: Column) -> Column:
-    # NTZ -> instant under the session zone (UTC); any monotone map works.
-    return F.unix_micros(ts.cast("timestamp"))
-
-
-def _hot_keys(df: DataFrame, key: str, ts_col: str, rows_per_slice: int,
-              max_hot_keys: int) -> DataFrame | None:
-    """Keys with more rows than the threshold, with their time range and
-    slice count; None when there are none. The threshold is raised so at
-    most ``max_hot_keys`` keys qualify, which bounds the table."""
-    stats = (df.groupBy(key)
-             .agg(F.count(F.lit(1)).alias("_n"),
-                  F.min(_micros(F.col(ts_col))).alias("_lo"),
-                  F.max(_micros(F.col(ts_col))).alias("_hi"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    total = stats.agg(F.sum("_n")).first()[0] or 0
-    threshold = max(rows_per_slice, math.ceil(total / max_hot_keys))
-    hot_rows = (stats.filter(F.col("_n") > threshold)
-                .withColumn("_slices", F.ceil(F.col("_n") / F.lit(rows_per_slice)))
-                .select(key, "_lo", "_hi", "_slices")
-                .limit(max_hot_keys + 1)  # guard only; the threshold already bounds it
-                .collect())
-    hot_schema = stats.select(key, "_lo", "_hi", F.lit(1).cast("bigint").alias("_slices")).schema
-    stats.unpersist()
-    assert len(hot_rows) <= max_hot_keys
-    if not hot_rows:
-        return None
-    return df.sparkSession.createDataFrame(hot_rows, schema=hot_schema)
-
-
-def _with_slices(df: DataFrame, hot: DataFrame, key: str, ts_col: str, descending: bool) -> DataFrame:
-    """``_slice``: 0 for normal keys; for hot keys a time bucket numbered
-    along the window order (monotone, so slices are contiguous runs)."""
-    span = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double")
-    dist = (F.col("_hi") - _micros(F.col(ts_col))) if descending else (_micros(F.col(ts_col)) - F.col("_lo"))
-    slice_no = F.least(F.col("_slices") - 1,
-                       F.floor(dist.cast("double") * F.col("_slices") / span)).cast("bigint")
-    return (df.join(F.broadcast(hot), on=key, how="left")  # size bounded by max_hot_keys
-            .withColumn("_slice", F.coalesce(slice_no, F.lit(0).cast("bigint")))
-            .drop("_lo", "_hi", "_slices"))
+from tessera.session import checkpoint_dir
+
+
+def _ranged(df: DataFrame, key: str, order: list[Column], partitions: int | None) -> DataFrame:
+    """``df`` range-partitioned by (key, order), with the partition's number
+    ``_p``; written to the shared folder, so every use sees the same ranges."""
+    spark = df.sparkSession
+    by = [F.col(key).asc(), *order]
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tessera/windows-{uuid.uuid4().hex}"
+    ranged = ranged.withColumn("_p", F.spark_partition_id())
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
+
+
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """Keys whose rows span several partitions."""
+    return (rows.groupBy(key).agg(F.min("_p").alias("_a"), F.max("_p").alias("_b")).filter("_a < _b")
+            .select(F.col(key).alias("_k")))
+
+
+def _borders(rows: DataFrame, key: str, value: Column) -> DataFrame:
+    """(_k, _q, _v): an aggregate per spread key and partition."""
+    spread = _spread(rows, key)
+    return (rows.join(spread, rows[key].eqNullSafe(spread["_k"]), "left_semi")
+            .groupBy(F.col(key).alias("_k"), F.col("_p").alias("_q")).agg(value.alias("_v")))
+
+
+def _patched(local: DataFrame, borders: DataFrame, key: str) -> DataFrame:
+    return local.join(borders, local[key].eqNullSafe(borders["_k"]) & (local["_p"] == borders["_q"]), "left")
 
 
 def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col: str,
                     value_col: str | None = None, descending: bool = False,
-                    rows_per_slice: int | None = None,
-                    max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                    partitions: int | None = None) -> DataFrame:
     """``out_col`` = ``value_col`` (default ``ts_col``) of the next row within
     ``key`` ordered by (ts_col, tie_col); ``descending=True`` orders newest
     first, which makes this a LAG.
@@ -85,64 +67,36 @@ def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col:
     Rows whose ``key`` is NULL form one group, as in SQL windows.
     """
     value_col = value_col or ts_col
-    rows_per_slice = rows_per_slice or ROWS_PER_SLICE
-    if descending:
-        order = [F.col(ts_col).desc(), F.col(tie_col).desc()]
-    else:
-        order = [F.col(ts_col).asc(), F.col(tie_col).asc()]
-    hot = _hot_keys(df, key, ts_col, rows_per_slice, max_hot_keys)
-    if hot is None:
-        w = Window.partitionBy(key).orderBy(*order)
-        return df.withColumn(out_col, F.lead(value_col).over(w))
-
-    sliced = _with_slices(df, hot, key, ts_col, descending)
-    w = Window.partitionBy(key, "_slice").orderBy(*order)
-    local = (sliced.withColumn("_next", F.lead(value_col).over(w))
+    order = [F.col(c).desc() if descending else F.col(c).asc() for c in (ts_col, tie_col)]
+    rows = _ranged(df, key, order, partitions)
+    w = Window.partitionBy("_p", key).orderBy(*order)
+    local = (rows.withColumn("_next", F.lead(value_col).over(w))
              .withColumn("_has_next", F.lead(F.lit(True)).over(w).isNotNull()))
-
-    # one row per slice of a hot key: its first value in the window order,
-    # then the first value of the key's next non-empty slice
     pos = F.struct(F.col(ts_col), F.col(tie_col))
-    first = F.max_by(value_col, pos) if descending else F.min_by(value_col, pos)
-    firsts = (sliced.join(F.broadcast(hot.select(key)), on=key, how="left_semi")
-              .groupBy(key, "_slice").agg(first.alias("_first")))
-    nxt = firsts.withColumn(
-        "_next_slice_first",
-        F.lead("_first").over(Window.partitionBy(key).orderBy("_slice"))).drop("_first")
-    return (local.join(nxt, on=[key, "_slice"], how="left")
-            .withColumn(out_col, F.when(F.col("_has_next"), F.col("_next"))
-                        .otherwise(F.col("_next_slice_first")))
-            .drop("_next", "_next_slice_first", "_slice", "_has_next"))
+    # a NULL value stays a NULL, so it travels inside a struct
+    packed = F.struct(F.col(value_col).alias("v"))
+    first = _borders(rows, key, F.max_by(packed, pos) if descending else F.min_by(packed, pos))
+    nxt = first.withColumn("_n", F.lead("_v").over(Window.partitionBy("_k").orderBy("_q"))).drop("_v")
+    return (_patched(local, nxt, key)
+            .withColumn(out_col, F.when(F.col("_has_next"), F.col("_next")).otherwise(F.col("_n.v")))
+            .select(*[c for c in df.columns if c != out_col], out_col))
 
 
 def ffill_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, value_col: str,
-                     out_col: str, rows_per_slice: int | None = None,
-                     max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                     out_col: str, partitions: int | None = None) -> DataFrame:
     """``out_col`` = the last non-NULL ``value_col`` at or before each row
     within ``key`` ordered by (ts_col, tie_col) — a forward fill, the core
-    of an as-of join. Hot keys are sliced by time; a slice without a value
-    takes the last value of the key's earlier slices."""
-    rows_per_slice = rows_per_slice or ROWS_PER_SLICE
+    of an as-of join. A partition without a value of a key takes the last
+    one of the key's earlier partitions."""
     order = [F.col(ts_col).asc(), F.col(tie_col).asc()]
-    hot = _hot_keys(df, key, ts_col, rows_per_slice, max_hot_keys)
-    if hot is None:
-        w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
-    sliced = _with_slices(df, hot, key, ts_col, False)
-    w = (Window.partitionBy(key, "_slice").orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = sliced.withColumn("_local", F.last(value_col, ignorenulls=True).over(w))
-    # one row per slice of a hot key: its last non-NULL value (if any); each
-    # slice's carry-in is the last such value of the key's earlier slices
-    slices = (sliced.join(F.broadcast(hot.select(key)), on=key, how="left_semi")
-              .groupBy(key, "_slice")
-              .agg(F.max_by(F.col(value_col), F.when(F.col(value_col).isNotNull(),
-                                                     F.struct(ts_col, tie_col))).alias("_last")))
-    carry = slices.withColumn("_in", F.last("_last", ignorenulls=True).over(
-        Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))).drop("_last")
-    return (local.join(carry, on=[key, "_slice"], how="left")
-            .withColumn(out_col, F.coalesce(F.col("_local"), F.col("_in")))
-            .drop("_local", "_in", "_slice"))
+    rows = _ranged(df, key, order, partitions)
+    w = Window.partitionBy("_p", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn("_local", F.last(value_col, ignorenulls=True).over(w))
+    last = _borders(rows, key, F.max_by(F.col(value_col), F.when(F.col(value_col).isNotNull(), F.struct(ts_col, tie_col))))
+    carry = last.withColumn("_in", F.last("_v", ignorenulls=True).over(
+        Window.partitionBy("_k").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1))).drop("_v")
+    return (_patched(local, carry, key).withColumn(out_col, F.coalesce(F.col("_local"), F.col("_in")))
+            .select(*[c for c in df.columns if c != out_col], out_col))
 
 
 def top1_by_group(df: DataFrame, group_cols: list[str], id_col: str, rank: Column,

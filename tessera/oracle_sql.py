@@ -273,6 +273,7 @@ FROM hashed"""
     q.update(_quality_and_reports(p))
     q.update(_intake(p))
     q["landing_stream_available_now"] = q["dim_bitemporal"]
+    q["replayed_batches"] = q["dim_bitemporal"]
     q.update(_cells())
     q["incremental_delta"] = _with(f"""
 SELECT id, upload_id, updated_at, company_name, filename FROM stg_ratings

@@ -252,7 +252,10 @@ def upload_stats(audits: DataFrame) -> DataFrame:
 
 # Q13
 def upload(audits: DataFrame, upload_id: str) -> DataFrame:
-    return (audits.filter(F.col("upload_id").cast("string") == F.lit(str(upload_id)))
+    # the literal is cast, not the column, so the predicate reaches the scan;
+    # texts that are no number match nothing
+    number = int(upload_id) if str(upload_id).lstrip("-").isdigit() else None
+    return (audits.filter(F.col("upload_id") == F.lit(number).cast("bigint"))
             .select(F.col("upload_id").cast("string").alias("upload_id"), "filename",
                     "updated_at", "data_quality_passed", "business_rules_passed",
                     "parser_sha", "schema_sha", "parsed_payload"))
