@@ -14,17 +14,21 @@ only those with two classes go on.
 1. Classes that share short lists are first linked within groups of equal
    min-hashes: blocks of bounded size, each compared with itself and with
    the group's hub block. This joins large groups of near copies without
-   comparing all their pairs.
+   comparing all their pairs. Classes outside a group's prevailing component
+   then visit all its blocks, which settles the group exactly.
 2. The search then covers what is left, exactly: short lists that still hold
    several components are merged per query class (heap merge by counting),
-   candidates with at least l occurrences and a fitting size are kept, and
-   their long lists are settled by binary probing of the sorted sets. A
-   class in the prevailing component of a list only meets others there.
+   candidates with at least l occurrences, a fitting size and no common
+   min-hash are kept, and their long lists are settled by binary probing of
+   the sorted sets. A class in the prevailing component of a list only meets
+   others there.
 3. Connected components of all links, by joins.
 
-Scale: texts are read three times, never shuffled (but for the reads of the
-classes with shared lists if their list is large); lists travel in
-chunks, groups in blocks; the only broadcast is the sketch (8 MB).
+Scale: texts are read, never shuffled; short lists are computed twice
+rather than stored; full sets are made only of classes with enough shared
+lists (a bit filter of at most 8 MB tells their texts, an exact join
+follows); lists travel in chunks, groups in blocks of bounded size. Sketch
+and filter are the only broadcasts.
 
 Case and words: A-Z lower-cased, words split at white space. Fewer words
 than n count as one shingle; empty, blank and null texts have no set and no
@@ -51,7 +55,8 @@ from tessera.llm._store import written
 SKETCH_BITS = 20
 CHUNK_BITS = 16  # counters per row of a partial sketch
 SIGNATURES = 2
-GROUP, HUBS = 96, 48  # classes per block, and in the hub block
+GROUP, HUBS, VISITORS = 96, 48, 256  # classes per block, in the hub block, visiting at once
+FILTER_BITS = 26  # of the filter of texts, at most
 LIST_CHUNK = 1024
 U = np.uint64
 
@@ -137,14 +142,13 @@ def sketch_of(rows: DataFrame) -> np.ndarray:
 
 
 def short_lists(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
-    """(shingle, node, n) of every set's short lists. Sets so small that no
+    """(shingle, node) of every set's short lists. Sets so small that no
     other set can reach the similarity have none."""
     def run(batches):
         order = sketch.value
         mask = U((1 << SKETCH_BITS) - 1)
         for batch in batches:
             seen: dict[int, np.ndarray] = {}
-            sizes: dict[int, int] = {}
             for s in sets_of(batch.column(0), k):
                 n = len(s)
                 if 100 * n < percent * (n + 1):
@@ -155,25 +159,39 @@ def short_lists(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
                 keep = min(n, n - required(n, percent) + matches(n))
                 rank = order[(s & mask).astype(np.int64)]
                 seen[node] = s[np.lexsort((s, rank))[:keep]] if keep < n else s
-                sizes[node] = n
             if seen:
                 size = [len(x) for x in seen.values()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(list(seen.values())).view(np.int64)),
-                     pa.array(np.repeat(np.array(list(seen), dtype=np.int64), size)),
-                     pa.array(np.repeat(np.array(list(sizes.values()), dtype=np.int32), size))], names=["shingle", "node", "n"])
+                     pa.array(np.repeat(np.array(list(seen), dtype=np.int64), size))], names=["shingle", "node"])
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "shingle long, node long, n int")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "shingle long, node long")
 
 
-def full_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(node, n, set, signatures) of the documents' classes."""
+def text_filter(texts: DataFrame, n: int) -> np.ndarray:
+    """Bits of the hashes in column _text: 16 per text, 2**FILTER_BITS at
+    most (more texts only make it less selective)."""
+    bits = min(FILTER_BITS, max(10, (16 * n - 1).bit_length()))
+    words = (texts.select(F.pmod("_text", F.lit(1 << bits)).alias("_p"))
+             .groupBy(F.expr("_p div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_p % 64 AS int))")).alias("bits")).toPandas())
+    out = np.zeros((1 << bits) // 64, dtype=np.int64)
+    out[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    return out
+
+
+def full_sets(docs: DataFrame, k: int, passing=None) -> DataFrame:
+    """(node, n, set, sig0 ..) of the documents' classes; with a broadcast
+    filter only of texts that may be in it."""
     schema = "node long, n int, set binary, " + ", ".join(f"sig{i} long" for i in range(SIGNATURES))
 
     def run(batches):
         for batch in batches:
+            if passing is not None:
+                bits = passing.value
+                p = batch.column(0).to_numpy(zero_copy_only=False) & np.int64(len(bits) * 64 - 1)
+                batch = batch.filter(pa.array((bits[p >> 6] >> (p & 63)) & 1 == 1))
             got = {}
-            for s in sets_of(batch.column(0), k):
+            for s in sets_of(batch.column(1), k):
                 if len(s):
                     got.setdefault(node_of(s), s)
             if got:
@@ -183,7 +201,7 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
                      pa.array([s.tobytes() for s in got.values()], pa.binary()), *[pa.array(x, pa.int64()) for x in sig]],
                     names=["node", "n", "set", *[f"sig{i}" for i in range(SIGNATURES)]])
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.xxhash64("text").alias("_text"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -195,62 +213,85 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def group_links(sets: DataFrame, key: str, percent: int) -> DataFrame:
-    """Links (a, b) found inside groups of one min-hash, block by block."""
-    big = sets.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
-    member = sets.select(key, "node", "n", "set").join(big, key)
+def compare(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links (a, b) that join components among the classes of one block; of
+    two visitors (own is false) nobody takes care here."""
+    pdf = pdf.sort_values("own", ascending=False).drop_duplicates("node")
+    nodes, own = pdf["node"].tolist(), pdf["own"].tolist()
+    sets_ = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
+    first: dict[int, int] = {}
+    root = [first.setdefault(c, i) for i, c in enumerate(pdf["comp"].tolist())]
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+    pairs = []
+    order = sorted(range(len(nodes)), key=lambda i: len(sets_[i]))
+    for i, x in enumerate(order):
+        for y in order[i + 1:]:
+            if len(sets_[x]) * 100 < percent * len(sets_[y]):
+                break
+            if (own[x] or own[y]) and find(x) != find(y) and linked(overlap(sets_[x], sets_[y]), len(sets_[x]), len(sets_[y]), percent):
+                root[find(y)] = find(x)
+                pairs.append((nodes[x], nodes[y]))
+    return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+
+
+def group_links(sets: DataFrame, comps: DataFrame | None, key: str, percent: int, whole: bool) -> DataFrame:
+    """Links between components inside the groups of one min-hash. Groups
+    are cut into blocks; the hub classes of a group, or (``whole``) all
+    outside its prevailing component, visit every block."""
+    member = sets.select(F.col(key).alias("key"), "node")
+    if comps is not None:
+        member = member.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    else:
+        member = member.withColumn("comp", F.col("node"))
+    per = member.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_n"))
+    mixed = (per.groupBy("key").agg(F.sum("_n").alias("_c"), F.max(F.struct("_n", "comp")).alias("_m"), F.count(F.lit(1)).alias("_k"))
+             .filter("_k > 1").select("key", "_c", F.col("_m.comp").alias("_major"), (F.col("_c") - F.col("_m._n")).alias("_out")))
+    member = member.join(mixed, "key")
     blocks = F.expr(f"cast((_c + {GROUP - 1}) div {GROUP} AS int)")
-    own = member.withColumn("_block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    hubs = (member.filter((F.col("_c") > GROUP) & (F.pmod(F.xxhash64("node", F.lit(1)), F.expr(f"(_c + {HUBS - 1}) div {HUBS}")) == 0))
-            .withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1))))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("node")
-        nodes = pdf["node"].tolist()
-        sets_ = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
-        root = list(range(len(nodes)))
-
-        def find(x):
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-        order = sorted(range(len(nodes)), key=lambda i: len(sets_[i]))
-        for i, x in enumerate(order):
-            for y in order[i + 1:]:
-                if len(sets_[x]) * 100 < percent * len(sets_[y]):
-                    break
-                if find(x) != find(y) and linked(overlap(sets_[x], sets_[y]), len(sets_[x]), len(sets_[y]), percent):
-                    root[find(y)] = find(x)
-        pairs = [(nodes[i], nodes[find(i)]) for i in range(len(nodes)) if find(i) != i]
-        return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
-
-    return own.unionByName(hubs).select(key, "_block", "node", "set").groupBy(key, "_block").applyInPandas(run, "a long, b long")
+    if whole:
+        visits, lots = F.col("comp") != F.col("_major"), F.expr(f"cast((_out + {VISITORS - 1}) div {VISITORS} AS int)")
+    else:
+        visits, lots = F.pmod(F.xxhash64("node", F.lit(1)), F.expr(f"(_c + {HUBS - 1}) div {HUBS}")) == 0, F.lit(1)
+    own = (member.withColumn("_block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+           .withColumn("_lot", F.explode(F.sequence(F.lit(0), lots - 1))).withColumn("own", F.lit(True)))
+    guest = (member.filter((F.col("_c") > GROUP) & visits).withColumn("_lot", F.pmod(F.xxhash64("node", F.lit(2)), lots).cast("int"))
+             .withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("own", F.lit(False)))
+    if whole:
+        own = own.filter(F.col("_c") > GROUP)
+    rows = own.unionByName(guest).select("key", "_block", "_lot", "own", "node", "comp").join(sets.select("node", "set"), "node")
+    return rows.groupBy("key", "_block", "_lot").applyInPandas(lambda pdf: compare(pdf, percent), "a long, b long")
 
 
 def candidates(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes in different components that share enough
-    short lists. ``lists``: (shingle, node, n, comp)."""
+    short lists and no min-hash. ``lists``: (shingle, node, n, sig0 .., comp)."""
+    sigs = [f"sig{i}" for i in range(SIGNATURES)]
     per = lists.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("_c"))
     mixed = (per.groupBy("shingle").agg(F.max(F.struct("_c", "comp")).alias("_m"), F.count(F.lit(1)).alias("_k"), F.sum("_c").alias("_len"))
              .filter("_k > 1").select("shingle", F.col("_m.comp").alias("_major"), "_len"))
-    rows = lists.join(mixed, "shingle")
-    rows = written(rows.withColumn("_chunk", F.pmod(F.xxhash64("node"), F.lit(64)).cast("int")), "jaccard-mixed")
+    rows = written(lists.join(mixed, "shingle"), "jaccard-mixed")
     longest = rows.agg(F.max("_len")).first()[0] or 0
-    chunks = max(1, -(-longest // LIST_CHUNK))
-    chunk = F.pmod(F.xxhash64("node"), F.lit(chunks))
-    packed = rows.groupBy("shingle", chunk.alias("_chunk")).agg(F.collect_list(F.struct("node", "n", "comp")).alias("_list"))
-    query = rows.filter("comp <> _major").select("shingle", F.col("node").alias("q"), F.col("n").alias("qn"), F.col("comp").alias("qc"))
+    chunk = F.pmod(F.xxhash64("node"), F.lit(max(1, -(-longest // LIST_CHUNK))))
+    packed = rows.groupBy("shingle", chunk.alias("_chunk")).agg(F.collect_list(F.struct("node", "n", "comp", *sigs)).alias("_list"))
+    query = rows.filter("comp <> _major").select("shingle", F.col("node").alias("q"), F.col("n").alias("qn"), F.col("comp").alias("qc"),
+                                                 *[F.col(c).alias(f"q{c}") for c in sigs])
     met = query.join(packed, "shingle").select(
-        "q", "qn", "qc", "_chunk", F.col("_list.node").alias("nodes"), F.col("_list.n").alias("ns"), F.col("_list.comp").alias("comps"))
+        "q", "qn", "qc", *[f"q{c}" for c in sigs], "_chunk",
+        *[F.col(f"_list.{c}").alias(f"l_{c}") for c in ("node", "n", "comp", *sigs)])
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         q, qn, qc = int(pdf["q"].iloc[0]), int(pdf["qn"].iloc[0]), int(pdf["qc"].iloc[0])
-        node, at, times = np.unique(np.concatenate(pdf["nodes"].to_list()), return_index=True, return_counts=True)
-        n = np.concatenate(pdf["ns"].to_list())[at].astype(np.int64)
-        comp = np.concatenate(pdf["comps"].to_list())[at]
-        ok = ((comp != qc) & (times >= matches(np.minimum(n, qn)))
+        node, at, times = np.unique(np.concatenate(pdf["l_node"].to_list()), return_index=True, return_counts=True)
+        n = np.concatenate(pdf["l_n"].to_list())[at].astype(np.int64)
+        ok = ((np.concatenate(pdf["l_comp"].to_list())[at] != qc) & (times >= matches(np.minimum(n, qn)))
               & (np.minimum(n, qn) * 100 >= percent * np.maximum(n, qn)))
+        for c in sigs:  # groups of one min-hash are settled
+            ok &= np.concatenate(pdf[f"l_{c}"].to_list())[at] != int(pdf[f"q{c}"].iloc[0])
         return pd.DataFrame({"a": np.minimum(node[ok], q), "b": np.maximum(node[ok], q)}, dtype="int64")
 
     return met.groupBy("q", "_chunk").applyInPandas(merge, "a long, b long").distinct()
@@ -280,20 +321,30 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     first = written(prints(docs, k), "jaccard-prints")
     rows = first.filter("chunk IS NULL").select("doc_id", "_text", "n", "node")
     sketch = spark.sparkContext.broadcast(sketch_of(first))
-    postings = written(short_lists(docs, k, percent, sketch), "jaccard-lists")
-    shared = postings.groupBy("shingle").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).filter("_a <> _b").select("shingle")
-    shared = written(postings.join(shared, "shingle").dropDuplicates(["shingle", "node"]), "jaccard-shared")
-    active = (shared.groupBy("node").agg(F.count(F.lit(1)).alias("_c"), F.max("n").alias("n"))
-              .filter(F.col("_c") >= F.expr(f"1 + ((n * {percent} + 99) div 100) div 32")).select("node"))
-    which = written(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("_text").alias("_text")).join(active, "node"), "jaccard-active")
-    chosen = docs.select(F.xxhash64("text").alias("_text"), "text").join(which.select("_text"), "_text", "left_semi")
-    sets = written(full_sets(chosen, k).dropDuplicates(["node"]), "jaccard-sets")
-    links = group_links(sets, "sig0", percent)
-    for i in range(1, SIGNATURES):
-        links = links.unionByName(group_links(sets, f"sig{i}", percent))
-    comps = components(written(links, "jaccard-links"))
-    lists = (shared.join(sets.select("node"), "node", "left_semi").join(comps, "node", "left")
-             .select("shingle", "node", "n", F.coalesce("comp", "node").alias("comp")))
+    # lists with one row are dropped before rows meet; counts combine map-side
+    postings = short_lists(docs, k, percent, sketch)
+    several = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("shingle")
+    shared = written(postings.join(several, "shingle").dropDuplicates(["shingle", "node"]), "jaccard-lists")
+    several = shared.groupBy("shingle").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("shingle")
+    classes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("_least"), F.min("_text").alias("_text"), F.max("n").alias("n"))
+    classes = written(classes, "jaccard-classes")
+    active = (shared.join(several, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("_c")).join(classes, "node")
+              .filter(F.col("_c") >= F.expr(f"1 + ((n * {percent} + 99) div 100) div 32")).select("node", "_text"))
+    active = written(active, "jaccard-active")
+    passing = spark.sparkContext.broadcast(text_filter(active, active.count()))
+    sets = full_sets(docs, k, passing).join(active.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    sets = written(sets, "jaccard-sets")
+    comps, links = None, None
+    for whole in (False, True):
+        for i in range(SIGNATURES):
+            new = written(group_links(sets, comps, f"sig{i}", percent, whole), "jaccard-links")
+            if new.limit(1).count():
+                links = new if links is None else links.unionByName(new)
+                comps = components(links)
+    if comps is None:
+        comps = spark.createDataFrame([], "node long, comp long")
+    lists = (shared.join(sets.drop("set"), "node").join(comps, "node", "left")
+             .withColumn("comp", F.coalesce("comp", "node")))
     pairs = written(candidates(lists, percent), "jaccard-pairs")
     found = written(settle(pairs, sets, percent), "jaccard-found")
     up = comps.select("node", "comp")
@@ -301,10 +352,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
             .join(up.withColumnsRenamed({"node": "b", "comp": "cb"}), "b", "left")
             .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
     over = components(written(more, "jaccard-more")).select(F.col("comp").alias("_top"), F.col("node").alias("comp"))
-    classes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("_least"))
     classes = (classes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
                .join(over, "comp", "left").withColumn("comp", F.coalesce("_top", "comp")).select("node", "_least", "comp"))
-    classes = written(classes, "jaccard-classes")
+    classes = written(classes, "jaccard-components")
     ids = classes.groupBy("comp").agg(F.min("_least").alias("component_id"))
     table = classes.join(ids, "comp").select("node", "component_id")
     return rows.join(table, "node", "left").select(
