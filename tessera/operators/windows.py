@@ -30,31 +30,31 @@ from tessera.session import checkpoint_dir
 
 def _ranged(df: DataFrame, key: str, order: list[Column], partitions: int | None) -> DataFrame:
     """``df`` range-partitioned by (key, order), with the partition's number
-    ``_p``; written to the shared folder, so every use sees the same ranges."""
+    ``_range``; written to the shared folder, so every use sees the same ranges."""
     spark = df.sparkSession
     by = [F.col(key).asc(), *order]
     ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     path = f"{checkpoint_dir(spark).rstrip('/')}/tessera/windows-{uuid.uuid4().hex}"
-    ranged = ranged.withColumn("_p", F.spark_partition_id())
+    ranged = ranged.withColumn("_range", F.spark_partition_id())
     ranged.write.parquet(path)
     return spark.read.schema(ranged.schema).parquet(path)
 
 
 def _spread(rows: DataFrame, key: str) -> DataFrame:
     """Keys whose rows span several partitions."""
-    return (rows.groupBy(key).agg(F.min("_p").alias("_a"), F.max("_p").alias("_b")).filter("_a < _b")
-            .select(F.col(key).alias("_k")))
+    return (rows.groupBy(key).agg(F.min("_range").alias("_a"), F.max("_range").alias("_b")).filter("_a < _b")
+            .select(F.col(key).alias("_border_key")))
 
 
 def _borders(rows: DataFrame, key: str, value: Column) -> DataFrame:
-    """(_k, _q, _v): an aggregate per spread key and partition."""
+    """(_border_key, _border_p, _border_v): an aggregate per spread key and partition."""
     spread = _spread(rows, key)
-    return (rows.join(spread, rows[key].eqNullSafe(spread["_k"]), "left_semi")
-            .groupBy(F.col(key).alias("_k"), F.col("_p").alias("_q")).agg(value.alias("_v")))
+    return (rows.join(spread, rows[key].eqNullSafe(spread["_border_key"]), "left_semi")
+            .groupBy(F.col(key).alias("_border_key"), F.col("_range").alias("_border_p")).agg(value.alias("_border_v")))
 
 
 def _patched(local: DataFrame, borders: DataFrame, key: str) -> DataFrame:
-    return local.join(borders, local[key].eqNullSafe(borders["_k"]) & (local["_p"] == borders["_q"]), "left")
+    return local.join(borders, local[key].eqNullSafe(borders["_border_key"]) & (local["_range"] == borders["_border_p"]), "left")
 
 
 def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col: str,
@@ -69,16 +69,16 @@ def lead_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, out_col:
     value_col = value_col or ts_col
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in (ts_col, tie_col)]
     rows = _ranged(df, key, order, partitions)
-    w = Window.partitionBy("_p", key).orderBy(*order)
-    local = (rows.withColumn("_next", F.lead(value_col).over(w))
-             .withColumn("_has_next", F.lead(F.lit(True)).over(w).isNotNull()))
+    w = Window.partitionBy("_range", key).orderBy(*order)
+    local = (rows.withColumn("_range_next", F.lead(value_col).over(w))
+             .withColumn("_range_has_next", F.lead(F.lit(True)).over(w).isNotNull()))
     pos = F.struct(F.col(ts_col), F.col(tie_col))
     # a NULL value stays a NULL, so it travels inside a struct
     packed = F.struct(F.col(value_col).alias("v"))
     first = _borders(rows, key, F.max_by(packed, pos) if descending else F.min_by(packed, pos))
-    nxt = first.withColumn("_n", F.lead("_v").over(Window.partitionBy("_k").orderBy("_q"))).drop("_v")
+    nxt = first.withColumn("_range_n", F.lead("_border_v").over(Window.partitionBy("_border_key").orderBy("_border_p"))).drop("_border_v")
     return (_patched(local, nxt, key)
-            .withColumn(out_col, F.when(F.col("_has_next"), F.col("_next")).otherwise(F.col("_n.v")))
+            .withColumn(out_col, F.when(F.col("_range_has_next"), F.col("_range_next")).otherwise(F.col("_range_n.v")))
             .select(*[c for c in df.columns if c != out_col], out_col))
 
 
@@ -90,12 +90,12 @@ def ffill_within_key(df: DataFrame, key: str, ts_col: str, tie_col: str, value_c
     one of the key's earlier partitions."""
     order = [F.col(ts_col).asc(), F.col(tie_col).asc()]
     rows = _ranged(df, key, order, partitions)
-    w = Window.partitionBy("_p", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = rows.withColumn("_local", F.last(value_col, ignorenulls=True).over(w))
+    w = Window.partitionBy("_range", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn("_range_local", F.last(value_col, ignorenulls=True).over(w))
     last = _borders(rows, key, F.max_by(F.col(value_col), F.when(F.col(value_col).isNotNull(), F.struct(ts_col, tie_col))))
-    carry = last.withColumn("_in", F.last("_v", ignorenulls=True).over(
-        Window.partitionBy("_k").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1))).drop("_v")
-    return (_patched(local, carry, key).withColumn(out_col, F.coalesce(F.col("_local"), F.col("_in")))
+    carry = last.withColumn("_range_in", F.last("_border_v", ignorenulls=True).over(
+        Window.partitionBy("_border_key").orderBy("_border_p").rowsBetween(Window.unboundedPreceding, -1))).drop("_border_v")
+    return (_patched(local, carry, key).withColumn(out_col, F.coalesce(F.col("_range_local"), F.col("_range_in")))
             .select(*[c for c in df.columns if c != out_col], out_col))
 
 

@@ -61,7 +61,7 @@ def test_bursts_shared_timestamps_and_null_keys_spread(spark):
         F.timestamp_seconds(F.when(F.col("id") == 0, 0).when(F.col("id") < 1000, 10**8 + F.col("id") % 86400)
                             .when(F.col("id") < 2000, 5).otherwise(F.col("id"))).cast("timestamp_ntz").alias("ts"),
         "id", F.when(F.col("id") % 50 == 3, F.col("id")).alias("v"))
-    sizes = [r["count"] for r in _ranged(df, "k", [F.col("ts").asc(), F.col("id").asc()], 30).groupBy("_p").count().collect()]
+    sizes = [r["count"] for r in _ranged(df, "k", [F.col("ts").asc(), F.col("id").asc()], 30).groupBy("_range").count().collect()]
     assert len(sizes) > 20 and max(sizes) < 300
     w = Window.partitionBy("k").orderBy("ts", "id")
     got = lead_within_key(df, "k", "ts", "id", "nxt", value_col="v", partitions=30)
