@@ -68,9 +68,9 @@ def test_dim_properties(spark):
         .count().filter("count <> 1").count() == 0
 
 
-def test_dim_with_every_company_sliced_equals_plain(spark, monkeypatch):
-    """Force the hot-key path (tiny slices) for LEAD/LAG/forward fill and
-    check the models built on them do not change."""
+def test_dim_with_companies_over_many_ranges_equals_one_range(spark, monkeypatch):
+    """LEAD/LAG/forward fill over one range and over 60 (companies span
+    several): the models built on them do not change."""
     from tessera.operators import windows
     from tessera.plans import queries as Q, reports as R
     from tessera.registry import warehouse
@@ -81,8 +81,10 @@ def test_dim_with_every_company_sliced_equals_plain(spark, monkeypatch):
                                              F.col("parsed_at").alias("probe_at"))
         return (w.dim.select("id", "sys_valid_to", "is_system_current").collect(),
                 R.change_only_history(w.dim).collect(), Q.as_of_probes(w.dim, probes).collect())
+    ranged = windows._ranged
+    monkeypatch.setattr(windows, "_ranged", lambda df, key, order, n: ranged(df, key, order, 1))
     plain = build()
-    monkeypatch.setattr(windows, "ROWS_PER_SLICE", 2)
+    monkeypatch.setattr(windows, "_ranged", lambda df, key, order, n: ranged(df, key, order, 60))
     sliced = build()
     for a, b in zip(plain, sliced):
         assert sorted(map(tuple, a)) == sorted(map(tuple, b))
