@@ -9,7 +9,7 @@ which keeps a single insult in a long text visible; a logistic calibration
 on a part of the training rows kept aside turns it into a score.
 
 The model is fitted on a bounded sample: at most ``max_each`` rows per class
-(default 2,000), the first by a hash of id and text. Scoring reads all
+(default 2,000), the first by a hash of the id, of texts of at most 64 KB. Scoring reads all
 rows: one pass without a shuffle, the model's n-gram weights (1 MB) are
 broadcast. Empty, null and blank texts have no bag and get the score of the
 empty bag (the softmax bias), 0.5 at most. Rows with a null id, repeated rows
@@ -32,6 +32,7 @@ BITS, DIM = 18, 16
 SIZES = (3, 4, 5, 6)  # bytes of the n-grams, word borders included
 WINDOW, STEP = 8, 4
 MAX_EACH = 2_000
+MAX_BYTES = 1 << 16  # longer texts are scored like all, but not learned from
 THRESHOLD = 0.7
 SURE, START = 2.0, 2.0
 
@@ -242,7 +243,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH)
     known = (labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic"))
              .dropna().groupBy("_id").agg(F.max("_toxic").alias("_toxic")))
     rows = (docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-            .filter(F.col("_id").isNotNull() & (fold(F.col("_id"), 3) != 1))
+            .filter(F.col("_id").isNotNull() & (fold(F.col("_id"), 3) != 1)
+                    & (F.coalesce(F.octet_length("_text"), F.lit(0)) <= MAX_BYTES))
             .withColumn("_order", F.xxhash64("_id", F.octet_length("_text"))))
     # choose ids first (narrow rows), then read only the chosen texts
     ids = known.filter(fold(F.col("_id"), 3) != 1)
