@@ -142,13 +142,14 @@ class Model:
         step = rate * float(g.mean())
         self.bias += np.array([step, -step], dtype=np.float32)
 
-    def start(self, prepared: list[tuple["Bags", np.ndarray]]) -> None:
+    def start(self, prepared: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
         """First direction of the embeddings: n-grams move along the
         softmax's class difference by their log odds between texts of the
         two classes, as far as that exceeds ``SURE`` standard errors."""
         df = np.full((2, 1 << BITS), 0.25)
         n = np.full(2, 0.5)
-        for bags, label in prepared:
+        for data, offsets, label in prepared:
+            bags = Bags(data, offsets)
             row = np.repeat(bags.words.row, np.diff(np.append(bags.border, len(bags.valid[0])))) if len(bags.border) else np.zeros(0, int)
             lead = int(bags.border[0]) if len(bags.border) else 0
             seen = [(row.astype(np.int64) << BITS | b[lead:].astype(np.int64))[ok[lead:]] for b, ok in zip(bags.buckets, bags.valid)]
@@ -189,16 +190,17 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, seed: int = 11)
         aside[:] = False
     fit = np.flatnonzero(~aside)
     prepared, order = [], r.permutation(fit)
-    for i in range(0, len(order), 64):  # groups of texts, their n-grams computed once
+    for i in range(0, len(order), 64):  # groups of texts; n-grams are made anew when needed, to save memory
         rows = order[i:i + 64]
         data, offsets = next((d, o) for _, d, o in _text.slices(pa.array([texts[j] for j in rows], pa.string()), 1 << 40))
-        prepared.append((Bags(data, offsets), labels[rows]))
+        prepared.append((data, offsets, labels[rows]))
     positive = max(1, int(labels[fit].sum()))
     balance = np.array([1.0, max(0.2, (len(fit) - positive) / positive)])
     model.start(prepared)
     for epoch in range(epochs):
         rate = 0.5 if epoch < epochs - 2 else 0.2
-        for bags, label in prepared:
+        for data, offsets, label in prepared:
+            bags = Bags(data, offsets)
             row, a, b, logit = bags.logits(model.weight(), float(model.bias[1] - model.bias[0]))
             if not len(row):
                 continue
