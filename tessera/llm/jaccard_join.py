@@ -20,8 +20,8 @@ only those with two classes go on.
    several components are merged per query class (heap merge by counting),
    candidates with at least l occurrences, a fitting size and no common
    min-hash are kept, and their long lists are settled by binary probing of
-   the sorted sets. A class in the prevailing component of a list only meets
-   others there.
+   the sorted sets. Only classes of larger components are met, so a pair's
+   lists are all counted in the query of the smaller one's class.
 3. Connected components of all links, by joins.
 
 Scale: texts are read, never shuffled; short lists are computed twice
@@ -269,32 +269,35 @@ def group_links(sets: DataFrame, comps: DataFrame | None, key: str, percent: int
 
 def candidates(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes in different components that share enough
-    short lists and no min-hash. ``lists``: (shingle, node, n, sig0 .., comp)."""
+    short lists and no min-hash. ``lists``: (shingle, node, n, sig0 .., comp
+    and, if known, size = classes of the component). Of two components the
+    smaller one (then that of the smaller id) asks, in all lists they share,
+    so one query counts all shared lists of a pair."""
     sigs = [f"sig{i}" for i in range(SIGNATURES)]
-    per = lists.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("_c"))
-    mixed = (per.groupBy("shingle").agg(F.max(F.struct("_c", "comp")).alias("_m"), F.count(F.lit(1)).alias("_k"), F.sum("_c").alias("_len"))
-             .filter("_k > 1").select("shingle", F.col("_m.comp").alias("_major"), "_len"))
-    rows = written(lists.join(mixed, "shingle"), "jaccard-mixed")
+    order = F.struct(*[c for c in ("size", "comp") if c in lists.columns])  # sizes only save queries
+    mixed = (lists.groupBy("shingle").agg(F.max(order).alias("_top"), F.min(order).alias("_low"), F.count(F.lit(1)).alias("_len"))
+             .filter("_top <> _low").select("shingle", "_top", "_len"))
+    rows = written(lists.join(mixed, "shingle").withColumn("_asks", order < F.col("_top")).drop("_top"), "jaccard-mixed")
     longest = rows.agg(F.max("_len")).first()[0] or 0
     chunk = F.pmod(F.xxhash64("node"), F.lit(max(1, -(-longest // LIST_CHUNK))))
-    packed = rows.groupBy("shingle", chunk.alias("_chunk")).agg(F.collect_list(F.struct("node", "n", "comp", *sigs)).alias("_list"))
-    query = rows.filter("comp <> _major").select("shingle", F.col("node").alias("q"), F.col("n").alias("qn"), F.col("comp").alias("qc"),
-                                                 *[F.col(c).alias(f"q{c}") for c in sigs])
-    met = query.join(packed, "shingle").select(
-        "q", "qn", "qc", *[f"q{c}" for c in sigs], "_chunk",
-        *[F.col(f"_list.{c}").alias(f"l_{c}") for c in ("node", "n", "comp", *sigs)])
+    packed = rows.groupBy("shingle", chunk.alias("_chunk")).agg(
+        F.collect_list(F.struct(order.alias("order"), "node", "n", *sigs)).alias("_list"), F.max(order).alias("_top"))
+    query = rows.filter("_asks").select("shingle", order.alias("_order"), F.col("node").alias("q"), F.col("n").alias("qn"),
+                                        *[F.col(c).alias(f"q{c}") for c in sigs])
+    met = query.join(packed, "shingle").filter(F.col("_order") < F.col("_top")).withColumn(
+        "_list", F.filter("_list", lambda x: x["order"] > F.col("_order"))).select(
+        "q", "qn", *[f"q{c}" for c in sigs], "_chunk", *[F.col(f"_list.{c}").alias(f"l_{c}") for c in ("node", "n", *sigs)])
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        q, qn, qc = int(pdf["q"].iloc[0]), int(pdf["qn"].iloc[0]), int(pdf["qc"].iloc[0])
+        q, qn = int(pdf["q"].iloc[0]), int(pdf["qn"].iloc[0])
         node, at, times = np.unique(np.concatenate(pdf["l_node"].to_list()), return_index=True, return_counts=True)
         n = np.concatenate(pdf["l_n"].to_list())[at].astype(np.int64)
-        ok = ((np.concatenate(pdf["l_comp"].to_list())[at] != qc) & (times >= matches(np.minimum(n, qn)))
-              & (np.minimum(n, qn) * 100 >= percent * np.maximum(n, qn)))
+        ok = (times >= matches(np.minimum(n, qn))) & (np.minimum(n, qn) * 100 >= percent * np.maximum(n, qn))
         for c in sigs:  # groups of one min-hash are settled
             ok &= np.concatenate(pdf[f"l_{c}"].to_list())[at] != int(pdf[f"q{c}"].iloc[0])
         return pd.DataFrame({"a": np.minimum(node[ok], q), "b": np.maximum(node[ok], q)}, dtype="int64")
 
-    return met.groupBy("q", "_chunk").applyInPandas(merge, "a long, b long").distinct()
+    return met.groupBy("q", "_chunk").applyInPandas(merge, "a long, b long")
 
 
 def settle(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -343,8 +346,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
                 comps = components(links)
     if comps is None:
         comps = spark.createDataFrame([], "node long, comp long")
-    lists = (shared.join(sets.drop("set"), "node").join(comps, "node", "left")
-             .withColumn("comp", F.coalesce("comp", "node")))
+    sized = comps.join(comps.groupBy("comp").agg(F.count(F.lit(1)).alias("size")), "comp")
+    lists = (shared.join(sets.drop("set"), "node").join(sized, "node", "left")
+             .withColumn("comp", F.coalesce("comp", "node")).withColumn("size", F.coalesce("size", F.lit(1).cast("long"))))
     pairs = written(candidates(lists, percent), "jaccard-pairs")
     found = written(settle(pairs, sets, percent), "jaccard-found")
     up = comps.select("node", "comp")

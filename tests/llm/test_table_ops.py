@@ -224,6 +224,17 @@ def test_search_covers_what_groups_leave(spark):
     assert found == expected
 
 
+def test_search_counts_all_shared_lists_of_a_pair(spark):
+    """x and y (40 shingles, so two lists) share one list where x's
+    component prevails and one where y's does."""
+    x, x2, y, y2 = 1, 2, 3, 4
+    comp = {x: 10, x2: 10, y: 20, y2: 20}
+    lists = {100: (x, x2, y), 101: (x, y, y2), 102: (x, x2), 103: (x2, y2)}
+    rows = [(s, n, 40, n, -n, comp[n], 2) for s, nodes in lists.items() for n in nodes]
+    frame = spark.createDataFrame(rows, "shingle long, node long, n int, sig0 long, sig1 long, comp long, size long")
+    assert [tuple(r) for r in jaccard_join.candidates(frame, 80).collect()] == [(x, y)]
+
+
 def test_one_per_group(spark):
     docs = awkward_docs(spark)
     got = jaccard_join.one_per_group(docs, 5, 80)
