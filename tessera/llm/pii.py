@@ -12,6 +12,12 @@ Covered: e-mail addresses, payment cards, IBANs, telephone numbers, social
 security numbers, IPv4 addresses, dates, access keys and values of
 password, token, secret and api_key settings.
 
+A match that fails its check may hold a value next to other digits or
+capitals: its shorter spans at group borders are tried, and the search goes
+on behind its first group. There a pseudonym that would make such a failed
+span valid is passed over (else it could not be undone), so it may differ
+from that of the same value elsewhere.
+
 Rows are independent: one pass, no shuffle; rows without a digit or an @
 are passed on as they came. Null texts stay null, empty ones empty; long
 texts are handled whole, repeated rows alike, other columns are kept; an
@@ -40,9 +46,9 @@ ROUNDS = 8
 CACHE = 200_000
 
 # The lengths of IBANs of some countries do not matter here;
-# the mod-97 check decides.
+# the mod-97 check decides, also which of the blanks ends one.
 PATTERN = re.compile(
-    r"(?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![\w-]))"
+    r"(?P<email>(?<!\w)\w[\w.+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![\w-]))"
     r"|(?P<secret>(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
     r"(?P<value>[A-Za-z0-9+/_.-]{6,}))"
     r"|(?P<access>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
@@ -251,23 +257,82 @@ class Pseudonyms:
                 self.cache[kind, s] = got
         return got
 
-    def text(self, s: str) -> tuple[str, int]:
-        """The text with all values replaced, and their number."""
+    def fitting(self, kind: str, s: str, a: int, b: int, failed: list[tuple[str, int, int]]) -> str | None:
+        """The pseudonym of s[a:b], walked on until no failed span around it
+        gets valid by it: so the result is read, and undone, the same way."""
+        def clash(new: str) -> bool:
+            for k, x, y in failed:
+                if x < b and a < y and len(new) == b - a:
+                    near = s[min(a, x):a] + new + s[b:max(b, y)]
+                    if self.value(k, near[x - min(a, x):y - min(a, x)]) is not None:
+                        return True
+            return False
+        new = self.value(kind, s[a:b])
+        while new is not None and clash(new):
+            new = self.value(kind, new)
+        return new
+
+    def scan(self, s: str, done: int, at: int, end: int, out: list[str]) -> int:
+        """Puts s[done:end] into ``out`` with the values from ``at`` on
+        replaced; returns their number. If a match fails its check, shorter
+        spans of it are tried, then the search goes on behind its first group."""
         found = 0
-
-        def put(m: re.Match) -> str:
-            nonlocal found
+        failed: list[tuple[str, int, int]] = []
+        while m := PATTERN.search(s, at, end):
             kind = m.lastgroup if m.lastgroup != "value" else "secret"
-            if kind == "secret":
-                new = self.value("secret", m["value"])
-                new = m[0][:m.start("value") - m.start()] + new + m[0][m.end("value") - m.start():]
-            else:
-                new = self.value(kind, m[0])
+            new = None
+            for a, b in ([m.span("value")] if kind == "secret" else shorter(kind, s, *m.span())):
+                new = self.fitting(kind, s, a, b, failed)
+                if new is not None:
+                    break
+                failed.append((kind, a, b))
             if new is None:
-                return m[0]
+                at = FIRST.match(s, m.start()).end()
+                failed = [x for x in failed if x[2] > at]
+                continue
+            found += self.scan(s, done, m.start(), a, out) if a > m.start() and kind != "secret" else 0
+            if a == m.start() or kind == "secret":
+                out.append(s[done:a])
+            out.append(new)
+            done = at = b
             found += 1
-            return new
-        return PATTERN.sub(put, s), found
+        out.append(s[done:end])
+        return found
+
+    def text(self, s: str) -> tuple[str, int]:
+        """The text with all values replaced, and their number."""
+        out: list[str] = []
+        found = self.scan(s, 0, 0, len(s), out)
+        return "".join(out), found
+
+
+FIRST = re.compile(r"\W*\w+")
+DIGITS = re.compile(r"\d+")
+PRINTED = [(4, 4, 4, 4), (4, 6, 5), (4, 6, 4)]  # digit groups of cards
+GROUPS = 5  # of a card with other digits around it, at most
+
+
+def shorter(kind: str, s: str, a: int, b: int):
+    """The spans of a match that may be the value, in the order of trial.
+    Cards: groups as printed or in one piece, then the whole match, then what
+    starts with it. IBANs: the whole match, then shorter ends at blanks."""
+    if kind == "card":
+        groups = [m.span() for m in DIGITS.finditer(s, a, b)]
+        sizes = [y - x for x, y in groups]
+        for i in range(len(groups)):
+            for shape in [*PRINTED, (sizes[i],)]:
+                if tuple(sizes[i:i + len(shape)]) == shape and sum(shape) >= 13:
+                    yield groups[i][0], groups[i + len(shape) - 1][1]
+        yield a, b
+        for j in range(min(GROUPS, len(groups) - 1), 1, -1):
+            if sum(sizes[:j]) >= 13:
+                yield a, groups[j - 1][1]
+        return
+    yield a, b
+    if kind == "iban":
+        for i in range(b - 1, a, -1):
+            if s[i] == " ":
+                yield a, i
 
 
 def _looks_hex(v: int, alphabets: list[str]) -> bool:
