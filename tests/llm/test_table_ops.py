@@ -312,6 +312,20 @@ def test_sharding(spark, extra):
     assert sum(len(set(g)) == 1 for g in several) >= 0.9 * len(several)
 
 
+def test_sharding_of_mostly_copies(spark):
+    """95 % of the rows in groups of 10: only
+    groups at shard borders are cut."""
+    rows = [(i, f"copy {i // 10}") for i in range(3800)] + [(i, f"single {i}") for i in range(3800, 4000)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert collections.Counter(collections.Counter(r["shard"] for r in got).values()) == {100: 40}
+    where = collections.defaultdict(set)
+    for r in got:
+        where[rows[r["doc_id"]][1]].add(r["shard"])
+    cut = sum(len(w) > 1 for w in where.values())
+    print(f"groups cut: {cut} of 380")
+    assert cut < 40
+
+
 def test_sharding_of_nothing(spark):
     assert sharding.shard(empty_docs(spark)).count() == 0
 
