@@ -9,8 +9,8 @@ which keeps a single insult in a long text visible; a logistic calibration
 on a part of the training rows kept aside turns it into a score.
 
 The model is fitted on a bounded sample: at most ``max_each`` rows per class
-(default 2,000), the first by a hash of the id, of texts of at most 64 KB. Scoring reads all
-rows: one pass without a shuffle, the model's n-gram weights (1 MB) are
+(default 2,000), the first by a hash of the id, of texts of at most ``max_bytes`` (default 64 KB),
+which bounds the driver's memory. Scoring reads all rows, texts of any length: one pass without a shuffle, the model's n-gram weights (1 MB) are
 broadcast. Empty, null and blank texts have no bag and get the score of the
 empty bag (the softmax bias), 0.5 at most. Rows with a null id, repeated rows
 and extra columns are scored like any other; a label that occurs more than
@@ -32,7 +32,7 @@ BITS, DIM = 18, 16
 SIZES = (3, 4, 5, 6)  # bytes of the n-grams, word borders included
 WINDOW, STEP = 8, 4
 MAX_EACH = 2_000
-MAX_BYTES = 1 << 16  # longer texts are scored like all, but not learned from
+MAX_BYTES = 1 << 16  # of the texts learned from; longer ones are scored like all
 THRESHOLD = 0.7
 SURE, START = 2.0, 2.0
 
@@ -239,17 +239,18 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH) -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH, max_bytes: int = MAX_BYTES) -> DataFrame:
     """At most ``max_each`` labelled texts per class outside the held-out
-    fold, in the order of a hash; ids in ``labels`` may repeat."""
+    fold, in the order of a hash, among texts of at most ``max_bytes`` bytes;
+    ids in ``labels`` may repeat."""
     known = (labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic"))
              .dropna().groupBy("_id").agg(F.max("_toxic").alias("_toxic")))
     rows = (docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
             .filter(F.col("_id").isNotNull() & (fold(F.col("_id"), 3) != 1)
-                    & (F.coalesce(F.octet_length("_text"), F.lit(0)) <= MAX_BYTES))
+                    & (F.coalesce(F.octet_length("_text"), F.lit(0)) <= max_bytes))
             .withColumn("_order", F.xxhash64("_id", F.octet_length("_text"))))
     # choose ids first (narrow rows), then read only the chosen texts
-    ids = known.filter(fold(F.col("_id"), 3) != 1)
+    ids = known.filter(fold(F.col("_id"), 3) != 1).join(rows.select("_id"), "_id", "left_semi")
     chosen = None
     for y in (0, 1):
         one = ids.filter((F.col("_toxic") > 0) == F.lit(bool(y))).orderBy(F.xxhash64("_id"), "_id").limit(max_each)
@@ -259,8 +260,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH)
             .orderBy("_order", "_id", F.col("_text")).limit(2 * max_each).select("_text", "_y"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH) -> Model | None:
-    got = training_rows(docs, labels, max_each).toPandas()
+def fit(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH, max_bytes: int = MAX_BYTES) -> Model | None:
+    got = training_rows(docs, labels, max_each, max_bytes).toPandas()
     y = got["_y"].to_numpy(dtype=np.int64)
     if len(set(y.tolist())) < 2:
         return None
@@ -291,9 +292,10 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", name: str =
     return source.mapInArrow(run, schema)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH, threshold: float = THRESHOLD) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH, threshold: float = THRESHOLD,
+             max_bytes: int = MAX_BYTES) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
-    model = fit(docs, labels, max_each)
+    model = fit(docs, labels, max_each, max_bytes)
     scored = score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

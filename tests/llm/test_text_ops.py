@@ -221,6 +221,16 @@ def test_toxicity_without_labels(spark):
     assert {r["score"] for r in toxicity.toxicity(awkward_docs(spark), lab).collect()} == {0.0}
 
 
+def test_toxicity_sample_is_filled_from_texts_within_the_bound(spark):
+    long = "word " * 20_000
+    rows = [(i, long if i % 3 else f"short text {i}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i // 3 % 2) for i in range(120)] + [(500, 1)], "doc_id long, toxic int")
+    got = collections.Counter(r["_y"] for r in toxicity.training_rows(docs, labels, max_each=8).collect())
+    assert got == {0: 8, 1: 8}
+    assert toxicity.training_rows(docs, labels, 30, max_bytes=200_000).filter(F.length("_text") > 70_000).count() > 0
+
+
 def test_window_logits_equal_plain_average():
     rng = np.random.Generator(np.random.PCG64(2))
     weight = rng.standard_normal(1 << toxicity.BITS).astype(np.float32)
