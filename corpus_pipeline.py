@@ -9,7 +9,9 @@ its predecessor kept. All but the last return the columns of ``documents``.
 3. pii: personal data is replaced by pseudonyms (n_chars follows the text).
 4. source_mix: documents are left out or repeated, up to three times, so
    that sources come in their target shares.
-5. bpe: texts become tokens; one row per document and repeat.
+5. bpe: texts become tokens; one row per document and repeat, with the
+   number of tokens, their ids (decimal, joined by commas, which is what
+   ids_sha256 is the digest of) and two digests.
 
 SQL cannot express the learned scores, the similarity join's components,
 the keyed pseudonyms or the merges; tests/llm compares each stage with a
@@ -51,7 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode(docs.select("doc_id", "text"), tokenizer_path(), ids=False, digests=True)
+    return bpe.encode(docs.select("doc_id", "text"), tokenizer_path(), ids=True, digests=True, joined=True)
 
 
 STAGES = [

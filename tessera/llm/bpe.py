@@ -299,15 +299,16 @@ def _encoder(key: str, shared) -> Encoder:
 
 
 def encode(docs: DataFrame, tokenizer: str, ids: bool = True, digests: bool = False,
-           text: str = "text") -> DataFrame:
+           text: str = "text", joined: bool = False) -> DataFrame:
     """All columns of ``docs`` but the text, with n_tokens (long), ids
     (array<int>, if asked for) and digests (ids_sha256 of the decimal ids
-    joined by commas, decoded_sha256 of the text decoded from the ids)."""
+    joined by commas, decoded_sha256 of the text decoded from the ids). With
+    ``joined`` ids are a string, the decimal ids joined by commas."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(Vocabulary(tokenizer))  # the file's size
     added = [T.StructField("n_tokens", T.LongType())]
     if ids:
-        added.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
+        added.append(T.StructField("ids", T.StringType() if joined else T.ArrayType(T.IntegerType())))
     if digests:
         added += [T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     names = {f.name.lower() for f in added}
@@ -328,7 +329,13 @@ def encode(docs: DataFrame, tokenizer: str, ids: bool = True, digests: bool = Fa
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
                 out = [batch.column(i).slice(first, rows) for i in range(len(keep))]
                 out.append(pa.array(ends - starts, type=pa.int64()))
-                if ids:
+                if ids and joined:
+                    blob, where = _text.gather(v.digits, v.digit_offset, got)
+                    where = np.concatenate([[0], where])
+                    blob = blob.tobytes()
+                    out.append(pa.array([blob[x:max(x, y - 1)].decode() for x, y in zip(where[starts].tolist(), where[ends].tolist())],
+                                        type=pa.string()))
+                elif ids:
                     border = pa.array(np.concatenate([[0], ends]), type=pa.int32())
                     out.append(pa.ListArray.from_arrays(border, pa.array(got, type=pa.int32())))
                 if digests:

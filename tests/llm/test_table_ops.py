@@ -414,6 +414,22 @@ def test_pipeline(spark):
     assert len(last) == docs.count()
 
 
+def test_last_stage_returns_the_ids(spark):
+    import hashlib
+
+    import corpus_pipeline as p
+    from tessera.llm import bpe
+    docs = awkward_docs(spark)
+    got = p.STAGES[-1][1](spark, docs, SF_SMALL)
+    assert got.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    for r in got.collect():
+        assert r["n_tokens"] == len(r["ids"].split(",") if r["ids"] else [])
+        assert hashlib.sha256(r["ids"].encode()).hexdigest() == r["ids_sha256"]
+    lists = got.withColumn("ids", F.expr("transform(filter(split(ids, ','), x -> x <> ''), x -> cast(x AS int))")).select("doc_id", "ids")
+    texts = bpe.decode(lists, p.tokenizer_path())
+    assert collections.Counter(map(tuple, texts.collect())) == collections.Counter((r["doc_id"], r["text"] or "") for r in docs.collect())
+
+
 def test_pipeline_stages_take_awkward_rows(spark):
     import corpus_pipeline as p
     for docs in (awkward_docs(spark), empty_docs(spark)):
