@@ -1,3 +1,3 @@
 """Operators of a training-data pipeline (URL filter, source mixing, PII,
-near-duplicate join, toxicity, nearest neighbours, quality, sharding, BPE,
-language-model scores). Nothing else in the library imports this package."""
+near-duplicate joins, toxicity, nearest neighbours, quality, sharding, BPE,
+language-model scores, spelling variants, conversation trie). Nothing else in the library imports this package."""

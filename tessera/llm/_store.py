@@ -19,6 +19,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Arrow batches of at most ``size`` bytes (or one row), so that the
+    memory of Python workers does not follow the longest texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def text_bytes(docs: DataFrame, col: str = "text") -> int:
     """UTF-8 bytes of all texts (one aggregate; sizes blocks and parts)."""
     return docs.agg(F.sum(F.octet_length(F.col(f"`{col}`")).cast("long"))).first()[0] or 0

@@ -83,6 +83,22 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.spelling import spelling_variants
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.lsh_forest import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.conversation_trie import prefix_trie
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_url_filter, op2_source_mix, op3_pii_pseudonyms, op4_jaccard_join, op5_toxicity, op6_nearest_neighbours, op7_quality_votes, op8_sharding, op9_bpe, op10_lm_scores)}
+        op1_url_filter, op2_source_mix, op3_pii_pseudonyms, op4_jaccard_join, op5_toxicity, op6_nearest_neighbours, op7_quality_votes, op8_sharding, op9_bpe, op10_lm_scores,
+        op11_spelling_variants, op12_lsh_forest, op13_conversation_trie)}
