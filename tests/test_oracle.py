@@ -31,9 +31,12 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    q, o = entry.queries(), entry.oracle_sql()
+    from tessera.oracle_sql import oracle_queries
+    from tessera.registry import queries
+    q, o = queries(), oracle_queries()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"workbook_cells"}
+    assert set(q) <= set(entry.queries()) and set(o) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
