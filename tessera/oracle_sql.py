@@ -278,6 +278,14 @@ FROM hashed"""
     q["incremental_delta"] = _with(f"""
 SELECT id, upload_id, updated_at, company_name, filename FROM stg_ratings
 WHERE updated_at > (SELECT max(updated_at) FROM stg_ratings WHERE updated_at < TIMESTAMP '{p['cut_2']}')""")
+    bad = f"(r.id % {p['blank_every']} = 3 AND r.id IN (SELECT rating_id FROM hdr))"
+    q["publish_quarantine"] = _with(f"""SELECT r.id AS rating_id, 'published' AS state, CAST(NULL AS VARCHAR) AS test_name,
+  (SELECT count(*) FROM stg_metrics m WHERE m.rating_id = r.id) AS n,
+  LEAD(r.updated_at) OVER (PARTITION BY r.company_name ORDER BY r.updated_at, r.id) AS sys_valid_to
+FROM stg_ratings r WHERE NOT {bad}
+UNION ALL
+SELECT r.id, 'quarantined', 'not_null_fct_metric_year', (SELECT count(*) FROM mvals m WHERE m.rating_id = r.id AND m.year_idx = 1),
+  CAST(NULL AS TIMESTAMP) FROM stg_ratings r WHERE {bad}""")
     q["upsert_single_key"] = _with("SELECT id, upload_id, updated_at, company_name, filename FROM stg_ratings")
     q["upsert_composite_key"] = _with(
         "SELECT rating_id, metric_name, year_idx, metric_year_str, metric_value_text, updated_at FROM stg_metrics")
