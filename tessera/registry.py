@@ -215,7 +215,7 @@ def _publish_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.plans import pipeline
     from tessera.session import checkpoint_dir
     root = f"{checkpoint_dir(spark).rstrip('/')}/tessera/quarantine-{uuid.uuid4().hex}"
-    blank = F.regexp_replace("parsed_payload", f'("{tpl.YEAR_HEADER}":\\[)"[^"]*"', "$1null")
+    blank = F.regexp_replace("parsed_payload", '("\\Q' + tpl.YEAR_HEADER + '\\E":\\[)"[^"]*"', "$1null")
     raw = raw_ratings(spark, sf_dir).withColumn(
         "parsed_payload", F.when(F.col("id") % PARAMS["blank_every"] == 3, blank).otherwise(F.col("parsed_payload")))
     first = F.col("parsed_at") < F.lit(PARAMS["cut_1"]).cast("timestamp_ntz")
