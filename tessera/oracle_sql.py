@@ -515,11 +515,37 @@ SELECT kind, n_errors FROM (
   UNION ALL SELECT 'missing_field', (SELECT count(*) FROM valid WHERE id % 17 = 0)
   UNION ALL SELECT 'invalid_sheet', (SELECT count(*) FROM files WHERE id % 101 = 0)) x
 WHERE n_errors > 0"""
-    q["payload_assembled"] = base + """
+    from tessera.operators.extract import code_fingerprint
+    t = tpl.get_template()
+    text = lambda v: f"to_json({v})::VARCHAR"
+    kv = " || ',' || ".join(
+        f"'\"{esc(lab)}\":' || coalesce({text(values.get(lab, repr(fc.CONSTANT_VALUES.get(lab, fc.DEFAULT_VALUE))))}, 'null')" for lab in kv_labels)
+    lists = {"Rating methodologies applied": f"['{fc.METHODOLOGY}']",
+             "Industry risk": f"CASE WHEN id % 9 = 0 THEN [c_mktsegment, NULL, '{fc.SECOND_INDUSTRY}'] ELSE [c_mktsegment] END",
+             "Industry risk score": f"CASE WHEN id % 9 = 0 THEN ['{fc.DEFAULT_VALUE}', NULL, '{fc.SECOND_SCORE}'] ELSE ['{fc.DEFAULT_VALUE}'] END",
+             "Industry weight": f"CASE WHEN id % 10 = 0 THEN {_list(fx.FAILED_WEIGHTS)} WHEN id % 10 = 1 THEN {empty} ELSE {_list(fx.GOOD_WEIGHTS)} END"}
+    metrics = {tpl.YEAR_HEADER: "header", fc.QTY_LABEL: "qty", fc.PRICE_LABEL: "price"}
+    nl = " || ',' || ".join(f"'\"{esc(lab)}\":' || {text(lists[lab])}" for lab in meta["named_list"])
+    cm = " || ',' || ".join(f"'\"{esc(lab)}\":' || {text(f'coalesce({metrics[lab]}, {empty})')}"
+                            for lab in t["sections"]["credit_metrics"]["named_list"] if lab in metrics)
+    messages = ", ".join(f"CASE WHEN {cond} THEN '{esc(msg)}' END" for cond, msg in (
+        ("id % 13 = 0", f"Unexpected data point found in cell A5: '{fc.NOTE}'"),
+        ("o_orderstatus = 'F'", "Unexpected data point found in cell Z100: 'F'"),
+        ("id % 17 = 0", "Missing required field: 'Accounting principles' in section 'evaluations_metadata'")))
+    q["payload_assembled"] = base + f""",
+judged AS (
+  SELECT f.*, y.header, y.qty, y.price, list_filter([{messages}], lambda x: x IS NOT NULL) AS errors,
+         list_filter([CASE WHEN id % 13 = 0 THEN '"A5":' || {text(f"'{fc.NOTE}'")} END,
+                      CASE WHEN o_orderstatus = 'F' THEN '"Z100":"F"' END], lambda x: x IS NOT NULL) AS stray
+  FROM files f LEFT JOIN ylists y ON y.rid = f.id)
 SELECT file_hash, filename,
        CASE WHEN id % 101 = 0 THEN 'invalid_sheet' ELSE 'parsed' END AS status,
-       id % 101 <> 0 AND o_orderstatus <> 'F' AND id % 13 <> 0 AND id % 17 <> 0 AS data_quality_passed,
-       CAST(CASE WHEN id % 101 = 0 THEN 1
-            ELSE (o_orderstatus = 'F')::INT + (id % 13 = 0)::INT + (id % 17 = 0)::INT END AS INTEGER) AS n_errors
-FROM files"""
+       id % 101 <> 0 AND len(errors) = 0 AS data_quality_passed,
+       CAST(CASE WHEN id % 101 = 0 THEN 1 ELSE len(errors) END AS INTEGER) AS n_errors,
+       CASE WHEN id % 101 <> 0 THEN '{{"evaluations_metadata":{{' || {kv} || ',' || {nl} || '}},"credit_metrics":{{' || {cm}
+         || '}},"unexpected_cells":{{' || array_to_string(stray, ',') || '}},"_meta":{{"filename":' || {text('filename')}
+         || ',"schema_type":"{tpl.DEFAULT_TYPE}","schema_version":"{tpl.DEFAULT_VERSION}","schema_sha":"{tpl.template_sha(t)}","parser_sha":"{code_fingerprint()}"'
+         || ',"data_quality_passed":' || CASE WHEN len(errors) = 0 THEN 'true' ELSE 'false' END
+         || ',"data_quality_errors":' || {text('errors')} || '}}}}' END AS parsed_payload
+FROM judged"""
     return q

@@ -138,7 +138,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "file_hash", "filename", "section", "label"))
     r["extraction_error_kinds"] = _cells(lambda x: R.error_kinds_of(x.payloads(), "errors"))
     r["payload_assembled"] = _cells(lambda x: x.payloads().select(
-        "file_hash", "filename", "status", "data_quality_passed", F.size("errors").alias("n_errors")))
+        "file_hash", "filename", "status", "data_quality_passed", F.size("errors").alias("n_errors"), "parsed_payload"))
     r["workbook_cells"] = _workbook_round_trip
     r["landing_stream_available_now"] = _landing_stream
     r["replayed_batches"] = _replayed_batches

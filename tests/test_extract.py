@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators.extract import Extraction
 from tessera.sources.workbook import decode_workbook, encode_workbook, read_cells
@@ -119,3 +120,24 @@ def test_decode_value_rules():
     assert recs["C1"][4:] == ("number", "2024", "2024")
     assert recs["D1"][4:] == ("number", "0.00001", "1e-05")
     assert recs["E1"][5] == "  padded  "  # stripped later, in the extraction
+
+
+def test_cells_with_one_reference(spark):
+    """Two cells with one reference stop nothing: in a workbook the last one
+    counts, in a cell table the greatest value."""
+    book = company_a(extra=[(24, 3, "string", "Yak"), (24, 3, "string", "Zebra"), (100, 26, "string", "x"), (100, 26, "string", "y")])
+    r = _parse(spark, {"f.xlsm": book})["f.xlsm"]
+    payload = json.loads(r.parsed_payload)
+    assert payload["evaluations_metadata"]["Industry risk"] == ["Zebra"]
+    assert payload["unexpected_cells"] == {"Z100": "y"} and len(r.errors) == 1
+    cells = read_cells(spark.createDataFrame([("h", "f.xlsm", bytearray(encode_workbook(company_a())))], "file_hash string, filename string, content binary"))
+    twice = cells.unionByName(cells.filter("row = 24 AND col = 3").withColumns({"value": F.lit("Zinc"), "display": F.lit("Zinc")}))
+    x = Extraction(twice)
+    got = json.loads(x.payloads().first().parsed_payload)["evaluations_metadata"]["Industry risk"]
+    assert got == ["Zinc"] == x.named_lists().filter("label = 'Industry risk'").first()["values"]
+
+
+def test_payloads_shuffle_twice(spark):
+    cells = read_cells(spark.createDataFrame([("h", "f.xlsm", bytearray(encode_workbook(company_a())))], "file_hash string, filename string, content binary"))
+    plan = Extraction(cells).payloads()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
