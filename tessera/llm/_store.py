@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,11 +34,30 @@ def text_bytes(docs: DataFrame, col: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(F.col(f"`{col}`")).cast("long"))).first()[0] or 0
 
 
-def column(df: DataFrame, name: str):
-    """A column by its exact name (names may hold dots)."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
-def parts(spark: SparkSession, size: int, each: int, least: int = 8) -> int:
-    """Number of parts of about ``each`` bytes, at least ``least``."""
-    return max(least, -(-size // each))
+def safely_named(*own: str):
+    """Decorator of ``fn(docs, ...)`` returning the columns of ``docs``: the
+    function sees columns that are not its own under names without dots and
+    without clashes; the result has the user's names again."""
+    def wrap(fn):
+        @functools.wraps(fn)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            names = docs.columns
+            safe = docs.toDF(*[c if c in own else f"extra{i}" for i, c in enumerate(names)])
+            return fn(safe, *args, **kwargs).toDF(*names)
+        return run
+    return wrap
+
+
+def frugal(run):
+    """Decorator of a task over Arrow batches: freed memory goes back to the
+    system at its end, so that idle workers do not hold it."""
+    @functools.wraps(run)
+    def task(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not glibc
+            pass
+    return task

@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import _text
+from tessera.llm._store import frugal, small_batches
 
-CACHE = 700_000  # pre-tokens kept per worker (longer than 64 bytes: never)
+CACHE = 200_000  # pre-tokens kept per worker (longer than 64 bytes: never)
 SLICE = 4 << 20
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
@@ -106,6 +107,7 @@ class Encoder:
         self.automaton.make_automaton()
         self.by_letters = {t.decode("latin-1"): i for t, i in by_bytes.items()}
         self.length = [len(t) for t in vocab.token]
+        self.reach = max(map(len, by_bytes), default=1)  # no match is longer
         self.shorter = {}  # token -> longest token that is a proper prefix of it
         for t, i in by_bytes.items():
             self.shorter[i] = next((by_bytes[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in by_bytes), None)
@@ -117,7 +119,7 @@ class Encoder:
         known = self.compatible.get((a, b))
         if known is None:
             known = self._fits(a, b)
-            if len(self.compatible) < 4 * CACHE:
+            if len(self.compatible) < 2 * CACHE:
                 self.compatible[a, b] = known
         return known
 
@@ -153,8 +155,8 @@ class Encoder:
     def word(self, key: bytes) -> tuple[int, ...]:
         w = key.decode("latin-1")
         size = len(w)
-        length, shorter, known, longest = self.length, self.shorter, self.compatible, self.longest
-        t = longest(w)
+        length, shorter, known, longest, reach = self.length, self.shorter, self.compatible, self.longest, self.reach
+        t = longest(w[:reach])
         if length[t] == size:
             return (t,)
         open_ = bytearray(b"\1") * (size + 1)  # positions not yet given up
@@ -173,7 +175,7 @@ class Encoder:
                     out.append(t)
                     if end == size:
                         return tuple(out)
-                    at, t = end, longest(w[end:])
+                    at, t = end, longest(w[end:end + reach])
                     continue
             t = shorter[t]
             while t is None:  # nothing fits here: give the position up
@@ -182,6 +184,11 @@ class Encoder:
                 at -= length[t]
                 t = shorter[t]
 
+    def forget(self) -> None:
+        """Drops what was learned from texts (a worker serves other tasks too)."""
+        self.cache.clear()
+        self.compatible.clear()
+
     def words(self, keys: list[bytes]) -> list[tuple[int, ...]]:
         cache, out = self.cache, []
         for k in keys:
@@ -305,6 +312,7 @@ def encode(docs: DataFrame, tokenizer: str, ids: bool = True, digests: bool = Fa
     joined by commas, decoded_sha256 of the text decoded from the ids). With
     ``joined`` ids are a string, the decimal ids joined by commas."""
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(Vocabulary(tokenizer))  # the file's size
     added = [T.StructField("n_tokens", T.LongType())]
     if ids:
@@ -318,6 +326,7 @@ def encode(docs: DataFrame, tokenizer: str, ids: bool = True, digests: bool = Fa
     # the text goes last, under its position: other columns keep their names
     source = docs.select(*[F.col(c) for c in quoted], F.col(f"`{text}`").cast("string").alias(text))
 
+    @frugal
     def run(batches):
         enc = _encoder(tokenizer, shared)
         v = enc.v
@@ -347,6 +356,7 @@ def encode(docs: DataFrame, tokenizer: str, ids: bool = True, digests: bool = Fa
                         out.append(pa.array([hashlib.sha256(blob[x:max(x, y - comma)]).hexdigest()
                                              for x, y in zip(a, b)], type=pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=[f.name for f in schema.fields])
+        enc.forget()
 
     return source.mapInArrow(run, schema)
 

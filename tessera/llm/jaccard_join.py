@@ -24,7 +24,8 @@ only those with two classes go on.
    lists are all counted in the query of the smaller one's class.
 3. Connected components of all links, by joins.
 
-Scale: texts are read, never shuffled; short lists are computed twice
+Scale: texts are read, not shuffled (only ``one_per_group`` joins the
+documents to the rows that stay); short lists are computed twice
 rather than stored; full sets are made only of classes with enough shared
 lists (a bit filter of at most 8 MB tells their texts, an exact join
 follows); lists travel in chunks, groups in blocks of bounded size. Sketch
@@ -50,7 +51,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import _text
 from tessera.llm._graph import components
-from tessera.llm._store import written
+from tessera.llm._store import frugal, safely_named, small_batches, written
 
 SKETCH_BITS = 20
 CHUNK_BITS = 16  # counters per row of a partial sketch
@@ -92,6 +93,7 @@ def prints(docs: DataFrame, k: int) -> DataFrame:
     rows of partial sketches (chunk, counts)."""
     schema = "doc_id long, _text long, n long, node long, chunk int, counts binary"
 
+    @frugal
     def run(batches):
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         mask = U((1 << SKETCH_BITS) - 1)
@@ -144,6 +146,7 @@ def sketch_of(rows: DataFrame) -> np.ndarray:
 def short_lists(docs: DataFrame, k: int, percent: int, sketch) -> DataFrame:
     """(shingle, node) of every set's short lists. Sets so small that no
     other set can reach the similarity have none."""
+    @frugal
     def run(batches):
         order = sketch.value
         mask = U((1 << SKETCH_BITS) - 1)
@@ -184,6 +187,7 @@ def full_sets(docs: DataFrame, k: int, passing=None) -> DataFrame:
     filter only of texts that may be in it."""
     schema = "node long, n int, set binary, " + ", ".join(f"sig{i} long" for i in range(SIGNATURES))
 
+    @frugal
     def run(batches):
         for batch in batches:
             if passing is not None:
@@ -320,6 +324,7 @@ def settle(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, _text (hash of the text), n_shingles, component_id per row."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select("doc_id", "text")
     first = written(prints(docs, k), "jaccard-prints")
     rows = first.filter("chunk IS NULL").select("doc_id", "_text", "n", "node")
@@ -367,6 +372,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         F.coalesce(F.col("node"), F.lit(0)).alias("_node"))
 
 
+@safely_named("doc_id", "text")
 def one_per_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, one of each group of linked documents: that with
     the smallest doc_id (then the smallest hash of its text). Documents

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm._prefix import running_sum
-from tessera.llm._store import written
+from tessera.llm._store import safely_named, written
 
 BLOCK = 256
 EPOCHS = 3
@@ -130,6 +130,7 @@ def mix(docs: DataFrame, block: int = BLOCK, epochs: int = EPOCHS, seed: int = 2
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
+@safely_named("doc_id", "text", "source")
 def repeat_to_mix(docs: DataFrame, block: int = BLOCK, epochs: int = EPOCHS) -> DataFrame:
     """The documents as the mix takes them: each as often as it is begun (a
     text cut by its source's target stays whole; at most one per source).

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import _text
+from tessera.llm._store import frugal, small_batches
 
 BITS, DIM = 18, 16
 SIZES = (3, 4, 5, 6)  # bytes of the n-grams, word borders included
@@ -271,14 +272,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH, max_bytes:
 def score(docs: DataFrame, model: Model | None, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with a double column ``name`` (an equally named one is replaced)."""
     spark = docs.sparkSession
+    small_batches(spark)
     keep = [f for f in docs.schema.fields if f.name.lower() != name.lower()]
     schema = T.StructType([*keep, T.StructField(name, T.DoubleType())])
     if model is None:
-        return docs.select(*[F.col("`" + f.name + "`") for f in keep], F.lit(0.0).alias(name))
+        return docs.select(*[F.col("`" + f.name.replace("`", "``") + "`") for f in keep], F.lit(0.0).alias(name))
     shared = spark.sparkContext.broadcast((model.weight(), float(model.bias[1] - model.bias[0]), model.scale, model.shift))
     at = [f.name for f in keep].index(text)
     source = docs.select(*[F.col("`" + f.name.replace("`", "``") + "`") for f in keep])
 
+    @frugal
     def run(batches):
         weight, bias, scale, shift = shared.value
         for batch in batches:

@@ -239,3 +239,42 @@ def test_trie_awkward_rows(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     assert nodes(conversation_trie.prefix_trie(df)) == trie(rows)
     assert conversation_trie.prefix_trie(df.limit(0)).count() == 0
+
+
+# column names in pipeline stages, long pre-tokens
+
+CLASHES = ["_t", "_h", "_n", "_score", "_found", "_text", "_copies", "_id", "a.b", "a`b"]
+
+
+def test_stages_keep_columns_whatever_their_names(spark):
+    import corpus_pipeline as c
+    docs = table(spark, SF_SMALL, "documents").limit(40)
+    wide = docs.toDF(*docs.columns)
+    for i, name in enumerate(CLASHES):
+        wide = wide.withColumn(f"c{i}", lsh_forest.F.col("doc_id") * 100 + i)
+    wide = wide.toDF(*docs.columns, *CLASHES)
+    for name, stage in c.STAGES[:-1]:
+        out = stage(spark, wide, SF_SMALL)
+        assert out.columns == wide.columns, name
+        for r in out.collect():
+            assert list(r)[len(docs.columns):] == [r["doc_id"] * 100 + i for i in range(len(CLASHES))], name
+
+
+def test_long_pretokens_are_linear():
+    import time
+    import tokenizers
+    from tessera.llm import _text, bpe
+    from tessera.llm.registry import tokenizer_path
+    enc = bpe.Encoder(bpe.Vocabulary(tokenizer_path()))
+    rnd = random.Random(4)
+    text = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=4_000_000))
+    began = time.thread_time()
+    [(_, data, offsets)] = list(_text.slices(pa.array([text]), 1 << 20))
+    ids, _ = enc.encode(data, offsets)
+    assert time.thread_time() - began < 60
+    library = tokenizers.Tokenizer.from_file(str(tokenizer_path()))
+    library.no_truncation()
+    library.no_padding()
+    part = text[:200_000]
+    [(_, data, offsets)] = list(_text.slices(pa.array([part])))
+    assert enc.encode(data, offsets)[0].tolist() == library.encode(part, add_special_tokens=False).ids
