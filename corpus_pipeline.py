@@ -13,6 +13,12 @@ its predecessor kept. All but the last return the columns of ``documents``.
    number of tokens, their ids (decimal, joined by commas, which is what
    ids_sha256 is the digest of) and two digests.
 
+Null and empty texts pass all stages (a text without words is no copy of
+another); very long texts are handled whole; repeated rows are copies, of
+which one stays; an empty table gives an empty result. Columns that a stage
+does not know go through it unchanged, whatever they are called. Ties (equal
+doc_ids in a group) are broken by the text's hash.
+
 SQL cannot express the learned scores, the similarity join's components,
 the keyed pseudonyms or the merges; tests/llm compares each stage with a
 brute-force version.
@@ -24,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, jaccard_join, pii, source_mix, toxicity
-from tessera.llm._store import written
+from tessera.llm._store import safely_named, small_batches, written
 from tessera.llm.registry import PII_KEY, table, tokenizer_path
 
 ORACLE_SQL = None
@@ -32,15 +38,20 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, name="_score")
-    return scored.filter(F.col("_score") < toxicity.THRESHOLD).drop("_score")
+
+    @safely_named("doc_id", "text")
+    def clean(rows: DataFrame) -> DataFrame:
+        return toxicity.score(rows, model, name="_score").filter(F.col("_score") < toxicity.THRESHOLD).drop("_score")
+
+    return clean(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard_join.one_per_group(docs)
 
 
-def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@safely_named("doc_id", "text", "n_chars")
+def _hidden(docs: DataFrame) -> DataFrame:
     hidden = pii.pseudonymise(docs, PII_KEY, count="_found")
     if "n_chars" in docs.columns:
         hidden = hidden.withColumn("n_chars", F.when(F.col("_found") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
@@ -48,6 +59,11 @@ def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return hidden.select(*docs.columns)
 
 
+def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return _hidden(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return source_mix.repeat_to_mix(docs)
 
