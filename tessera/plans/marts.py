@@ -139,6 +139,20 @@ def company_details(dim: DataFrame, fct: DataFrame) -> DataFrame:
             .withColumn("metrics", F.coalesce(F.col("metrics"), F.array().cast(f"array<{METRIC_STRUCT}>"))))
 
 
+class DetailLookup:
+    """The company detail view for questions about some of its rows: rows are
+    chosen on the narrow dimension, their ids filter the fact, and only what
+    is left of it is nested."""
+
+    def __init__(self, dim: DataFrame, fct: DataFrame):
+        self.rows, self.fct = dim.select(*DETAIL_COLUMNS), fct
+
+    def nest(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (a choice of ``self.rows``) with their metrics."""
+        ids = rows.select(F.col("id").alias("rating_id"))
+        return company_details(rows, self.fct.join(ids, on="rating_id", how="left_semi"))
+
+
 def upload_audits(raw: DataFrame) -> DataFrame:
     """T-7: every upload (passed or not) with both quality gates."""
     p = parse_payload(raw)
@@ -194,6 +208,10 @@ class Warehouse:
     def details(self):
         return self._get("details", lambda: company_details(self.dim, self.fct))
 
+    @property
+    def lookup(self):
+        return DetailLookup(self.dim, self.fct)
+
     @property
     def audits(self):
         return self._get("audits", lambda: upload_audits(self.raw))

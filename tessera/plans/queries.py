@@ -45,6 +45,22 @@ def _restrict(df: DataFrame, names, col: str = "company_name") -> DataFrame:
     return df.filter(F.col(col).isin(list(names)))
 
 
+def _rows_and_nest(details):
+    """The rows a detail question chooses from, and what turns its choice
+    into detail rows: a ``DetailLookup`` nests metrics last, a DataFrame of
+    the view has them already."""
+    if isinstance(details, DataFrame):
+        return details, lambda rows: rows
+    return details.rows, details.nest
+
+
+def _winners(rows: DataFrame, rank: Column) -> DataFrame:
+    """The greatest row per company by ``rank``; only ids and ranks are
+    compared, the rows follow by a semi-join."""
+    ids = top1_rows(rows.select("id", "company_name", rank.alias("_rank")), ["company_name"], F.col("_rank"))
+    return rows.join(ids.select("id"), on="id", how="left_semi")
+
+
 def snapshot_summary(dim: DataFrame) -> DataFrame:
     """13 columns of a version summary, times cut to seconds."""
     return dim.select(
@@ -80,9 +96,9 @@ def companies(dim: DataFrame) -> DataFrame:
 def compare_as_of(details: DataFrame, company_ids, as_of) -> DataFrame:
     """Detail rows valid at system time ``as_of``: from <= t < to (open end)."""
     t = _ts(as_of)
-    d = _restrict(details, company_ids)
-    return detail_view(d.filter((F.col("sys_valid_from") <= t)
-                                & (F.col("sys_valid_to").isNull() | (F.col("sys_valid_to") > t))))
+    rows, nest = _rows_and_nest(details)
+    valid = (F.col("sys_valid_from") <= t) & (F.col("sys_valid_to").isNull() | (F.col("sys_valid_to") > t))
+    return detail_view(nest(_restrict(rows, company_ids).filter(valid)))
 
 
 _LAST = 9223372036854775807  # probes sort after versions with the same time
@@ -125,9 +141,9 @@ def compare_business_year(details: DataFrame, company_ids, business_year: int) -
     """Per company the latest-version row with the greatest business year
     (NULL year first, as the reference's DESC does); metrics kept when their
     year equals ``business_year`` or is NULL."""
-    d = _restrict(details, company_ids).filter(F.col("is_latest_version_for_business_year"))
-    best = top1_rows(d, ["company_name"], _latest_business_rank())
-    return _filter_metric_year(detail_view(best), business_year)
+    rows, nest = _rows_and_nest(details)
+    d = _restrict(rows, company_ids).filter(F.col("is_latest_version_for_business_year"))
+    return _filter_metric_year(detail_view(nest(_winners(d, _latest_business_rank()))), business_year)
 
 
 def _filter_metric_year(view: DataFrame, business_year) -> DataFrame:
@@ -157,8 +173,9 @@ def _latest_row_rank() -> Column:
 # Q4
 def company(details: DataFrame, name=None) -> DataFrame:
     """Top latest-version row per company (one company or all)."""
-    d = _restrict(details, name).filter(F.col("is_latest_version_for_business_year"))
-    return detail_view(top1_rows(d, ["company_name"], _latest_row_rank()))
+    rows, nest = _rows_and_nest(details)
+    d = _restrict(rows, name).filter(F.col("is_latest_version_for_business_year"))
+    return detail_view(nest(_winners(d, _latest_row_rank())))
 
 
 # Q5
@@ -186,9 +203,9 @@ def company_history(dim: DataFrame, fct: DataFrame, name=None) -> DataFrame:
 def company_version(details: DataFrame, name, version_id: int) -> DataFrame:
     """Detail of one version per company; several rows with the same
     version (reprocessing) -> the newest."""
-    d = _restrict(details, name).filter(F.col("version_id") == F.lit(int(version_id)))
-    rank = F.struct(F.col("sys_valid_from"), F.col("id"))
-    return detail_view(top1_rows(d, ["company_name"], rank))
+    rows, nest = _rows_and_nest(details)
+    d = _restrict(rows, name).filter(F.col("version_id") == F.lit(int(version_id)))
+    return detail_view(nest(_winners(d, F.struct(F.col("sys_valid_from"), F.col("id")))))
 
 
 # Q8
@@ -226,7 +243,8 @@ def snapshots_latest(dim: DataFrame) -> DataFrame:
 
 # Q10
 def snapshot(details: DataFrame, snapshot_id) -> DataFrame:
-    return detail_view(details.filter(F.col("id") == F.lit(int(snapshot_id))))
+    rows, nest = _rows_and_nest(details)
+    return detail_view(nest(rows.filter(F.col("id") == F.lit(int(snapshot_id)))))
 
 
 # Q11

@@ -91,19 +91,19 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     r["company_details_nested"] = _wh(_details_flat)
     r["upload_audits"] = _wh(lambda w: w.audits.drop("parsed_payload"))
     r["companies_current"] = _wh(lambda w: Q.companies(w.dim))
-    r["compare_as_of"] = _wh(lambda w: Q.flatten_details(Q.compare(w.details, None, as_of_date=p["as_of"])))
+    r["compare_as_of"] = _wh(lambda w: Q.flatten_details(Q.compare(w.lookup, None, as_of_date=p["as_of"])))
     r["compare_business_year"] = _wh(lambda w: Q.flatten_details(
-        Q.compare(w.details, None, business_year=p["business_year"])))
-    r["company_latest"] = _wh(lambda w: Q.flatten_details(Q.company(w.details, None)))
+        Q.compare(w.lookup, None, business_year=p["business_year"])))
+    r["company_latest"] = _wh(lambda w: Q.flatten_details(Q.company(w.lookup, None)))
     r["company_versions"] = _wh(lambda w: Q.company_versions(w.dim, None))
     r["company_history"] = _wh(lambda w: Q.company_history(w.dim, w.fct, None))
     r["company_version_detail"] = _wh(lambda w: Q.flatten_details(
-        Q.company_version(w.details, None, p["version_id"])))
+        Q.company_version(w.lookup, None, p["version_id"])))
     r["snapshots_filtered"] = _wh(lambda w: Q.snapshots(
         w.dim, from_date=p["from_date"], to_date=p["to_date"], sector=p["sector"]))
     r["snapshots_latest"] = _wh(lambda w: Q.snapshots_latest(w.dim))
     r["as_of_probes"] = _wh(_upload_probes)
-    r["snapshot_detail"] = _wh(lambda w: Q.flatten_details(Q.snapshot(w.details, p["snapshot_id"])))
+    r["snapshot_detail"] = _wh(lambda w: Q.flatten_details(Q.snapshot(w.lookup, p["snapshot_id"])))
     r["uploads_list"] = _wh(lambda w: Q.uploads(w.audits))
     r["upload_stats_by_day"] = _wh(lambda w: Q.upload_stats(w.audits))
     r["upload_detail"] = _wh(lambda w: Q.upload(w.audits, p["upload_id"]).drop("parsed_payload"))

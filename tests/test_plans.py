@@ -40,3 +40,16 @@ def test_no_cartesian_or_nested_loop_joins(pub):
                R.one_big_table(pub.dim, pub.fct)]:
         plan = _plan(df)
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_detail_questions_filter_the_fact_before_nesting(pub):
+    """Winner ids reach the fact below collect_list, and the answer is that
+    of the nested view."""
+    name = pub.dim.select("company_name").first()[0]
+    for ask in (lambda d: Q.company(d, name), lambda d: Q.compare(d, [name], business_year=1996),
+                lambda d: Q.compare(d, [name], as_of_date="1997-01-01 00:00:00"), lambda d: Q.company_version(d, name, 2)):
+        lookup = ask(pub.lookup)
+        lines = lookup._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        at = next(i for i, x in enumerate(lines) if "collect_list" in x)
+        assert any("LeftSemi" in x for x in lines[at + 1:at + 4])
+        assert sorted(map(str, lookup.collect())) == sorted(map(str, ask(pub.details).collect()))
