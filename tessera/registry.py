@@ -276,26 +276,32 @@ def _incremental_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(delta.select(*INCREMENTAL_COLUMNS))
 
 
-def _upsert(spark, sf_dir, model, keys, newest, cols):
+def _upsert(spark, sf_dir, model, keys, newest, cols, altered):
+    """Two batches with an overlap. In the first one the overlapping rows are
+    older and ``altered`` differs, so only replaced rows match the oracle."""
     raw = raw_ratings(spark, sf_dir)
     ts = F.col("parsed_at")
+    cut_1, cut_2 = (F.lit(PARAMS[c]).cast("timestamp_ntz") for c in ("cut_1", "cut_2"))
     tbl = _scratch_table(spark, "upsert")
-    tbl.publish(model(raw.filter(ts < F.lit(PARAMS["cut_2"]).cast("timestamp_ntz"))))
-    tbl.upsert(model(raw.filter(ts >= F.lit(PARAMS["cut_1"]).cast("timestamp_ntz"))), keys, newest)
+    old = F.col("updated_at") >= cut_1
+    first = model(raw.filter(ts < cut_2)).withColumn(altered, F.when(old, F.concat(F.lit("old "), altered)).otherwise(F.col(altered)))
+    first = first.withColumn("updated_at", F.when(old, F.col("updated_at") - F.expr("INTERVAL 1 HOUR")).otherwise(F.col("updated_at")))
+    tbl.upsert(first, keys, newest)
+    tbl.upsert(model(raw.filter(ts >= cut_1)), keys, newest)
     return comparable(tbl.read().select(*cols))
 
 
 def _upsert_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Final staging ratings after two overlapping batches, key id."""
     from tessera.plans.marts import stg_ratings
-    return _upsert(spark, sf_dir, stg_ratings, ["id"], ["updated_at", "id"], INCREMENTAL_COLUMNS)
+    return _upsert(spark, sf_dir, stg_ratings, ["id"], ["updated_at", "id"], INCREMENTAL_COLUMNS, "company_name")
 
 
 def _upsert_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Final staging metrics, key (rating_id, metric_name, year_idx)."""
     from tessera.plans.marts import stg_metrics
     return _upsert(spark, sf_dir, stg_metrics, ["rating_id", "metric_name", "year_idx"], ["updated_at"],
-                   ["rating_id", "metric_name", "year_idx", "metric_year_str", "metric_value_text", "updated_at"])
+                   ["rating_id", "metric_name", "year_idx", "metric_year_str", "metric_value_text", "updated_at"], "metric_value_text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

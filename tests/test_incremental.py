@@ -33,6 +33,82 @@ def test_compaction(spark, tmp_root):
     assert len(t.parts()) <= 3 and sorted(r.k for r in t.read().collect()) == list(range(5))
 
 
+def test_merging_by_levels_reads_no_row_more_than_once_a_level(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/c", max_parts=2)
+    sizes = []
+    new_part = t._new_part
+
+    def counted(df, v, by, level=0):
+        name = new_part(df, v, by, level)
+        sizes.append((level, spark.read.parquet(f"{t.path}/{name}").count()))
+        return name
+    t._new_part = counted
+    for i in range(14):
+        t.append(spark.createDataFrame([(i,)], "k int"))
+    assert sorted(r.k for r in t.read().collect()) == list(range(14))
+    for level in {lv for lv, _ in sizes}:
+        assert sum(n for lv, n in sizes if lv == level) <= 14
+    assert max(lv for lv, _ in sizes) == 2  # 3 parts make one, 9 rows one of the next level
+
+
+def test_upsert_of_neighbouring_keys_rewrites_few_files(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/u")
+    rows = spark.range(200_000).select("id", F.lit("first").alias("v"), F.lit(1).alias("ts"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for lo in range(0, 200_000, 50_000):
+            assert t.upsert(rows.filter(F.col("id").between(lo, lo + 49_999)), ["id"], ["ts"]) == "append"
+        before = set(t.read().inputFiles())
+        assert len(before) >= 32
+        new = spark.range(60_000, 62_000).select("id", F.lit("second").alias("v"), F.lit(2).alias("ts"))
+        assert t.upsert(new, ["id"], ["ts"]) == "rewrite"
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(t.rewritten) <= 0.1 * len(before)
+    assert len(before & set(t.read().inputFiles())) == len(before) - len(t.rewritten)
+    got = t.read().groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
+    assert sorted(map(tuple, got.collect())) == [("first", 198_000, 0, 199_999), ("second", 2_000, 60_000, 61_999)]
+    # the version before is still there as it was
+    assert t.read_version(t.current_version() - 1).filter("v = 'second'").count() == 0
+
+
+def test_search_for_replaced_keys_is_pushed_to_the_scan(spark, tmp_root, capsys):
+    t = VersionedTable(spark, f"{tmp_root}/p")
+    t.upsert(spark.createDataFrame([(i, "a", 1) for i in range(50)], "k int, g string, ts int"), ["k", "g"], ["ts"])
+    seen = []
+    DataFrame = type(t.read())
+    plain = DataFrame.distinct
+    DataFrame.distinct = lambda self: (seen.append(self), plain(self))[1]
+    try:
+        t.upsert(spark.createDataFrame([(7, "a", 2), (9, "a", 2)], "k int, g string, ts int"), ["k", "g"], ["ts"])
+    finally:
+        DataFrame.distinct = plain
+    seen[0].explain("formatted")
+    plan = capsys.readouterr().out
+    assert "GreaterThanOrEqual(k,7)" in plan and "LessThanOrEqual(k,9)" in plan
+
+
+def test_upserts_in_any_order_equal_a_dictionary(spark, tmp_root):
+    import random
+    rnd = random.Random(5)
+    t = VersionedTable(spark, f"{tmp_root}/r", max_parts=2)
+    want, nulls = {}, 0
+    for step in range(9):
+        batch = [(rnd.randrange(40), rnd.choice(["x", "y"]), step, rnd.randrange(3)) for _ in range(rnd.choice([0, 3, 25]))]
+        if step % 4 == 1:  # keys with a NULL are never replaced
+            batch.append((None, "x", step, 0))
+            nulls += 1
+        t.upsert(spark.createDataFrame(batch, "k int, g string, step int, ts int"), ["k", "g"], ["ts"])
+        top = {}
+        for k, g, s, ts in batch:
+            if k is not None:
+                top[(k, g)] = max(ts, top.get((k, g), ts))
+        want.update({key: (step, ts) for key, ts in top.items()})
+    got = t.read().collect()
+    assert {(r.k, r.g): (r.step, r.ts) for r in got if r.k is not None} == want
+    assert len(got) == len(want) + nulls
+
+
 def test_watermark_is_strict(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:00",), ("2024-01-02 00:00:00",)], "ts string").select(
         F.col("ts").cast("timestamp_ntz").alias("ts"))
