@@ -418,11 +418,12 @@ a2 AS (SELECT (SELECT max(id) FROM a1) + ROW_NUMBER() OVER (ORDER BY filename, f
 a AS (SELECT * FROM a1 UNION ALL SELECT * FROM a2)
 SELECT CAST(id AS BIGINT) AS id, filename, file_hash, 's3://archive/' || file_hash || '_' || filename AS s3_path
 FROM a"""
+    todo = f"o_orderkey % {p['unparsed_every']} = 4 OR o_orderkey % {p['older_every']} = 5"
     q["idempotent_skip"] = f"""
-WITH f AS (SELECT o_orderkey AS id, {FILENAME_SQL} AS filename, o_orderstatus FROM orders)
+WITH f AS (SELECT o_orderkey AS id, {FILENAME_SQL} AS filename, o_orderstatus, o_orderkey FROM orders)
 SELECT id, filename,
-       CASE WHEN o_orderstatus <> 'F' THEN 'skipped' ELSE 'failed_before' END AS status,
-       CASE WHEN o_orderstatus = 'F'
+       CASE WHEN {todo} THEN 'process' WHEN o_orderstatus <> 'F' THEN 'skipped' ELSE 'failed_before' END AS status,
+       CASE WHEN o_orderstatus = 'F' AND NOT ({todo})
             THEN 'Validation previously failed for spreadsheet ' || chr(39) || filename || chr(39)
                  || ': Unexpected data point found in cell Z100: ' || chr(39) || o_orderstatus || chr(39) END
          AS message
@@ -432,8 +433,9 @@ WITH f AS (SELECT o_orderkey AS id, {FILENAME_SQL} AS filename FROM orders),
 h AS (SELECT id, filename, sha256(filename || ':' || CAST(id AS VARCHAR)) AS file_hash FROM f)
 SELECT id, filename, 's3://archive/' || file_hash || '_' || filename AS s3_path
 FROM h WHERE filename GLOB '{p['reprocess_pattern']}'"""
-    q["run_summary"] = """
-SELECT CASE WHEN o_orderstatus <> 'F' THEN 'passed' ELSE 'failed' END AS status, count(*) AS files
+    q["run_summary"] = f"""
+SELECT CASE WHEN {todo} THEN CASE WHEN o_orderstatus <> 'F' THEN 'passed' ELSE 'failed' END
+            WHEN o_orderstatus <> 'F' THEN 'skipped' ELSE 'failed_before' END AS status, count(*) AS files
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1"""
     return q
 
