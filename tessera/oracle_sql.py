@@ -346,6 +346,28 @@ SELECT id, 'industry_weight_in_0_1' AS rule, CAST(pos AS INTEGER) AS position, i
 FROM stg_ratings, range(1, len(industry_weight) + 1) r(pos)
 WHERE TRY_CAST(industry_weight[pos] AS DECIMAL(38,18)) IS NULL
    OR TRY_CAST(industry_weight[pos] AS DECIMAL(38,18)) < 0 OR TRY_CAST(industry_weight[pos] AS DECIMAL(38,18)) > 1""")
+    weights = ", range(1, len(industry_weight) + 1) r(pos)"
+    checked = """, checked(upload_id, filename, rule, field, position, value, verdict) AS (
+SELECT upload_id, filename, 'company_given', 'Rated entity', 1, company_name, 'valid' FROM raw
+UNION ALL SELECT upload_id, filename, 'currency_given', 'Reporting currency', 1, NULL, 'missing' FROM raw
+UNION ALL SELECT upload_id, filename, 'sector_known', 'CorporateSector', 1, corporate_sector,
+  CASE WHEN corporate_sector IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY') THEN 'valid' ELSE 'invalid' END FROM raw
+UNION ALL SELECT upload_id, filename, 'risk_profile_form', 'Business risk profile', 1, business_risk_profile,
+  CASE WHEN regexp_full_match(business_risk_profile, '[1-4]-[A-Z]+') THEN 'valid' ELSE 'invalid' END FROM raw
+UNION ALL SELECT upload_id, filename, 'weight_range', 'Industry weight', CAST(pos AS INTEGER), industry_weight[pos],
+  CASE WHEN CAST(industry_weight[pos] AS DECIMAL(18,6)) BETWEEN 0.2 AND 1 THEN 'valid' ELSE 'invalid' END FROM raw""" + weights + """
+UNION ALL SELECT r.upload_id, r.filename, 'year_form', 'year', CAST(year_idx AS INTEGER), year_str,
+  CASE WHEN year_str LIKE '%Q' THEN 'invalid' ELSE 'valid' END FROM hdr JOIN raw r ON r.id = rating_id
+UNION ALL SELECT r.upload_id, r.filename, 'metric_number', metric_name, CAST(year_idx AS INTEGER), metric_val,
+  CASE WHEN TRY_CAST(metric_val AS DECIMAL(38,18)) BETWEEN 0 AND 90000 THEN 'valid' ELSE 'invalid' END FROM mvals JOIN raw r ON r.id = rating_id)
+"""
+    q["rule_violations"] = _with(checked + "SELECT * FROM checked WHERE verdict <> 'valid'")
+    q["file_quality_report"] = _with(checked + """
+SELECT upload_id, filename, n_valid, n_invalid, n_missing, round(CAST(needed - n_missing AS DOUBLE) / needed, 6) AS completeness,
+       round(CAST(n_valid AS DOUBLE) / (n_valid + n_invalid), 6) AS validity
+FROM (SELECT upload_id, filename, count(*) FILTER (WHERE verdict = 'valid') AS n_valid, count(*) FILTER (WHERE verdict = 'invalid') AS n_invalid,
+  count(*) FILTER (WHERE verdict = 'missing') AS n_missing,
+  count(*) FILTER (WHERE rule IN ('company_given', 'currency_given', 'year_form')) AS needed FROM checked GROUP BY 1, 2)""")
     q["run_metrics"] = _with("""
 SELECT count(*) AS uploads, count(*) FILTER (WHERE data_quality_passed) AS passed,
        count(*) FILTER (WHERE NOT data_quality_passed) AS failed,

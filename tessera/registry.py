@@ -18,7 +18,9 @@ from tessera.operators import ingest as I
 from tessera.plans import quality as D
 from tessera.plans import queries as Q
 from tessera.plans import reports as R
+from tessera.plans import rules as X
 from tessera.plans.marts import Warehouse
+from tessera.plans.rules import LIST, MEMBER, METRICS, NUMBER, PATTERN, TEXT, YEARS, Rule
 from tessera.sources.fixture_ratings import raw_ratings, source_files_audit
 
 # Parameters of the registered point/filter queries (any value works; these
@@ -46,6 +48,16 @@ PARAMS = {
     "reprocess_pattern": "corporates_1*_2.xlsm",
     "ingest_time": "2024-01-02 03:04:05",
 }
+# Data rules of the rule queries; the tables breach each of them.
+RULES = [
+    Rule("company_given", TEXT, "Rated entity", required=True),
+    Rule("currency_given", TEXT, "Reporting currency", required=True),
+    Rule("sector_known", MEMBER, "CorporateSector", members=("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY")),
+    Rule("risk_profile_form", PATTERN, "Business risk profile", pattern="[1-4]-[A-Z]+"),
+    Rule("weight_range", NUMBER, "Industry weight", LIST, low="0.2", high="1"),
+    Rule("year_form", PATTERN, "year", YEARS, required=True, pattern="[0-9]{4}[AEPRF]?"),
+    Rule("metric_number", NUMBER, source=METRICS, low="0", high="90000"),
+]
 INCREMENTAL_COLUMNS = ["id", "upload_id", "updated_at", "company_name", "filename"]
 
 
@@ -120,6 +132,8 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     r["quality_report"] = _wh(lambda w: R.quality_report(w.raw))
     r["quality_error_kinds"] = _wh(lambda w: R.error_kinds(w.raw))
     r["range_rules"] = _wh(lambda w: R.range_rules(w.stg_ratings))
+    r["rule_violations"] = _wh(lambda w: X.violations(w.raw, RULES))
+    r["file_quality_report"] = _wh(lambda w: X.file_report(w.raw, RULES))
     r["run_metrics"] = _wh(lambda w: R.run_metrics(w.raw, w.stg_metrics))
     r["upload_success_rate"] = _wh(lambda w: R.upload_success_rate(w.audits))
     r["snapshots_page"] = _wh(lambda w: Q.snapshots_page(w.dim, p["page"], p["page_size"]))
