@@ -5,12 +5,16 @@ together they take as many words as there are. No source exceeds
 ``epochs`` times its own words: what is over goes to the others by weight
 (water filling, solved in closed form on the source table).
 
-Schedule: slot t belongs to the source in whose share of the cumulative
-targets the golden-ratio point frac(t * phi) falls, so at every moment each
-source has had its share up to a few slots. The n-th slot of a source takes
-the n-th block of ``block`` words of its stream: its documents in a shuffled
-order (by hash), repeated up to ``epochs`` times. Slots beyond a source's
-target are dropped, the last few missing ones are appended.
+Schedule: a source needs as many slots as its target has blocks of
+``block`` words. The golden-ratio point frac(t * phi) picks the source in
+whose share of the cumulative needs it falls, so at every moment each source
+has had its share up to a few slots; a source's points are its slots in
+their order, until it has what it needs. The n-th slot of a source takes
+the n-th block of its stream: its documents in a shuffled order (by hash),
+repeated up to ``epochs`` times. A document's ``first_slot`` is the slot that
+begins it: sorted by it, the mix is in its order.
+By the three-gap theorem any interval of length 1/S holds a point among the
+first 2.2 S ones, so 3 S points give S slots in all; nothing is patched.
 
 Scale: the texts are read once for their word counts; what follows works on
 narrow rows. Stream positions and slot numbers are running sums over
@@ -19,9 +23,10 @@ tasks; documents meet slots in an equi-join on (source, block). Only the
 table of sources (the mixture's own configuration) is ordered as a whole.
 
 Null texts have size 0 and are taken 0 times; null sources form one source;
-repeated rows and ids are separate documents (equal rows may swap places);
-very long texts span many blocks; clashing extra columns are ignored. An
-empty table gives an empty result.
+repeated rows and ids are separate documents (ordered by id and text, so
+only equal rows may swap places); very long texts span many blocks; clashing
+extra columns are ignored. Documents that the mix does not take have no
+first slot. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,8 +40,10 @@ from tessera.llm._store import safely_named, written
 BLOCK = 256
 EPOCHS = 3
 BUCKET = 512  # rows per bucket of a running sum, over all sources
-GOLDEN = 2654435769  # 2**32 / phi
+GRID = 1 << 48  # points are whole multiples of 1 / GRID
+GOLDEN = 173961102589771  # GRID / phi
 CELLS = 4096
+DRAWN = 3  # points drawn for each slot that is needed
 WORD = r"[^\x20\x09-\x0D]+"
 MANY_SOURCES = 100_000  # source tables up to this many rows are broadcast
 
@@ -46,10 +53,12 @@ def word_count(text: Column) -> Column:
 
 
 def golden_point(t: Column) -> Column:
-    """(t * GOLDEN) mod 2**32 without overflow."""
-    t = t % F.lit(1 << 32)
-    high, low = F.floor(t / 65536).cast("long"), t % 65536
-    return ((high * GOLDEN % 65536) * 65536 + low * GOLDEN) % F.lit(1 << 32)
+    """(t * GOLDEN) mod GRID for t below GRID, by 12 bits at a time: no
+    product reaches 2**63."""
+    x = F.lit(0).cast("long")
+    for shift in (36, 24, 12, 0):
+        x = (x * 4096 + F.shiftright(t, shift).bitwiseAND(F.lit(4095)) * F.lit(GOLDEN)).bitwiseAND(F.lit(GRID - 1))
+    return x
 
 
 def target_table(sizes: DataFrame, epochs: int = EPOCHS) -> DataFrame:
@@ -76,38 +85,35 @@ def target_table(sizes: DataFrame, epochs: int = EPOCHS) -> DataFrame:
 
 
 def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The slots: t, sid and n, the slot's rank within its source."""
+    """The slots: t (the point's number), sid and n, the slot's rank within
+    its source."""
     spark = targets.sparkSession
     upto = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    t = targets.withColumn("_need", F.expr(f"(quota + {block - 1}) div {block}"))
-    shares = t.withColumn("_all", F.sum("target").over(whole)).filter("_all > 0").withColumn(
-        "_hi", F.floor(F.sum("target").over(upto) / F.col("_all") * F.lit(float(1 << 32))).cast("long"))
-    shares = shares.withColumn("_lo", F.coalesce(F.lag("_hi").over(Window.orderBy("sid")), F.lit(0)))
-    shares = shares.withColumn("_hi", F.when(F.row_number().over(Window.orderBy(F.desc("sid"))) == 1, F.lit(1 << 32))
-                               .otherwise(F.col("_hi"))).filter("_hi > _lo")
-    width = (1 << 32) // CELLS
-    cells = shares.select("sid", "_lo", "_hi", F.explode(F.expr(f"sequence(_lo div {width}, (_hi - 1) div {width})")).alias("_cell"))
+    t = targets.select("sid", F.expr(f"(quota + {block - 1}) div {block}").alias("_need")).filter("_need > 0")
+    shares = t.withColumn("_all", F.sum("_need").over(whole)).withColumn("_upto", F.sum("_need").over(upto))
+
+    def place(slots: str) -> Column:
+        return F.floor(F.expr(slots).cast("double") / F.col("_all") * F.lit(float(GRID))).cast("long")
+
+    shares = shares.withColumn("_lo", place("_upto - _need")).withColumn("_hi", place("_upto"))
+    width = GRID // CELLS
+    cells = shares.select("sid", "_need", "_lo", "_hi", F.explode(F.expr(f"sequence(_lo div {width}, (_hi - 1) div {width})")).alias("_cell"))
     slots = t.agg(F.coalesce(F.sum("_need"), F.lit(0))).first()[0]
-    points = (spark.range(slots).withColumnRenamed("id", "t").withColumn("_x", golden_point(F.col("t") + 1))
+    points = (spark.range(DRAWN * slots).withColumnRenamed("id", "t").withColumn("_x", golden_point(F.col("t") + 1))
               .withColumn("_cell", F.expr(f"_x div {width}")))
     # at most CELLS + sources rows
-    drawn = points.join(cells, "_cell").filter("_x >= _lo AND _x < _hi").select("t", "sid")
-    drawn = running_sum(drawn.withColumn("_fine", F.expr(f"t div {4 * BUCKET}")), ["sid"], "_fine", ["t"], F.lit(1), "n").drop("_fine")
-    got = drawn.groupBy("sid").agg(F.count(F.lit(1)).alias("_got"))
-    need = t.select("sid", "_need")
-    kept = drawn.join(need, "sid").filter("n < _need").select("t", "sid", "n")
-    more = (need.join(got, "sid", "left").withColumn("_got", F.coalesce("_got", F.lit(0))).filter("_got < _need")
-            .select("sid", F.explode(F.expr("sequence(_got, _need - 1)")).alias("n")))
-    return kept.unionByName(more.select((F.col("n") * 0 + slots).alias("t"), "sid", "n"))
+    drawn = points.join(cells, "_cell").filter("_x >= _lo AND _x < _hi").select("t", "sid", "_need")
+    drawn = running_sum(drawn.withColumn("_fine", F.expr(f"t div {4 * BUCKET}")), ["sid"], "_fine", ["t"], F.lit(1), "n")
+    return drawn.filter("n < _need").select("t", "sid", "n")
 
 
 def mix(docs: DataFrame, block: int = BLOCK, epochs: int = EPOCHS, seed: int = 20240229, keep: list[str] = ["doc_id"]) -> DataFrame:
-    """One row per document: the columns ``keep``, size, source_size, target
-    and taken (words the mix takes, repeats counted)."""
+    """One row per document: the columns ``keep``, size, source_size, target,
+    taken (words the mix takes, repeats counted) and first_slot."""
     rows = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)],
                        F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
-                       F.xxhash64(F.lit(seed), F.col("doc_id"), F.octet_length("text")).alias("_key"),
+                       F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("_key"),
                        F.monotonically_increasing_id().alias("_row"))
     rows = written(rows, "mix-sizes")  # fixes _row, reads the texts once
     targets = written(target_table(rows, epochs), "mix-targets")
@@ -124,10 +130,10 @@ def mix(docs: DataFrame, block: int = BLOCK, epochs: int = EPOCHS, seed: int = 2
               .filter("_from < quota").withColumn("_to", F.least(F.col("_from") + F.col("size"), F.col("quota")))
               .withColumn("n", F.explode(F.expr(f"sequence(_from div {block}, (_to - 1) div {block})")))
               .withColumn("_words", F.least(F.col("_to"), (F.col("n") + 1) * block) - F.greatest(F.col("_from"), F.col("n") * block)))
-    taken = pieces.join(slots.select("sid", "n"), ["sid", "n"]).groupBy("_row").agg(F.sum("_words").alias("taken"))
+    taken = pieces.join(slots, ["sid", "n"]).groupBy("_row").agg(F.sum("_words").alias("taken"), F.min("t").alias("first_slot"))
     return placed.join(taken, "_row", "left").select(
         *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "size", "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot")
 
 
 @safely_named("doc_id", "text", "source")

@@ -132,6 +132,41 @@ def test_schedule_follows_the_targets(spark):
         assert all(abs(seen[s] - (i + 1) * s / 6) < 4 for s in (1, 2, 3))
 
 
+def test_points_and_slots(spark):
+    """Points as whole numbers; every source gets its slots, tiny ones too,
+    in the order of their own points."""
+    ts = [0, 1, 2, 4095, 4096, 10**9, 2**40 + 12345]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "i long, t long").orderBy("i")
+           .select(source_mix.golden_point(F.col("t"))).collect()]
+    assert got == [t * source_mix.GOLDEN % source_mix.GRID for t in ts]
+    assert abs(source_mix.GOLDEN / source_mix.GRID - (math.sqrt(5) - 1) / 2) < 1e-14
+    for seed in range(3):
+        rng = np.random.Generator(np.random.PCG64(seed))
+        needs = [int(x) for x in rng.choice([1, 2, 3, 7, 40, 900], 25)]
+        targets = spark.createDataFrame([(i + 1, n * 10) for i, n in enumerate(needs)], "sid long, quota long")
+        slots = collections.defaultdict(list)
+        for r in source_mix.schedule(targets, 10).collect():
+            slots[r["sid"]].append((r["n"], r["t"]))
+        edges = [math.floor(x / sum(needs) * float(source_mix.GRID)) for x in itertools.accumulate([0] + needs)]
+        points = [(t + 1) * source_mix.GOLDEN % source_mix.GRID for t in range(3 * sum(needs))]
+        for i, need in enumerate(needs):
+            mine = [t for t, x in enumerate(points) if edges[i] <= x < edges[i + 1]]
+            assert sorted(slots[i + 1]) == list(enumerate(mine[:need])) and len(mine) >= need
+
+
+def test_mix_is_in_the_order_of_the_schedule(spark):
+    """Documents of one block each: sorted by their first slots, every prefix
+    of the mix holds the sources by their weights."""
+    rows = [(i, "w " * 16, "abc"[i % 3]) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [r for r in source_mix.mix(docs, block=16, keep=["doc_id", "source"]).collect() if r["first_slot"] is not None]
+    seen = collections.Counter()
+    for i, r in enumerate(sorted(got, key=lambda r: r["first_slot"])[:300]):
+        seen[r["source"]] += 1
+        assert all(abs(seen[s] - (i + 1) * w / 6) < 4 for s, w in zip("abc", (1, 2, 3)))
+    assert sum(r["taken"] for r in got) == 900 * 16 and all(r["taken"] > 0 for r in got)
+
+
 def test_repeat_to_mix(spark):
     docs = awkward_docs(spark)
     got = source_mix.repeat_to_mix(docs, block=16)
