@@ -390,6 +390,7 @@ SELECT f.rating_id, f.upload_id, f.company_name, f.corporate_sector, f.metric_na
        d.business_risk_profile, d.financial_risk_profile, d.sys_valid_from, d.sys_valid_to,
        d.is_system_current, d.is_latest_version_for_business_year, d.max_actual_year
 FROM fct f JOIN dim d ON f.rating_id = d.id""")
+    q["one_big_table_year"] = q["one_big_table"] + f" WHERE f.metric_year = {p['business_year']}"
     attrs = ["corporate_sector", "country_of_origin", "reporting_currency", "business_risk_profile",
              "financial_risk_profile", "end_of_business_year", "accounting_principles"]
     lags = ", ".join(f"LAG({a}) OVER w AS prev_{a}" for a in attrs)
@@ -411,6 +412,13 @@ SELECT DISTINCT * FROM (
   UNION ALL SELECT 'country', country_of_origin FROM dim
   UNION ALL SELECT 'currency', reporting_currency FROM dim) x
 WHERE value IS NOT NULL""")
+    q["unknown_members"] = _with(f"""
+SELECT 'company' AS list_name, company_name AS value, count(*) AS ratings FROM dim
+WHERE company_name NOT IN (SELECT c_name FROM customer WHERE c_custkey % 50 <> 7) GROUP BY 2
+UNION ALL SELECT 'sector', corporate_sector, count(*) FROM dim
+WHERE corporate_sector NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY') GROUP BY 2
+UNION ALL SELECT 'country', country_of_origin, count(*) FROM dim
+WHERE country_of_origin NOT IN (SELECT n_name FROM nation WHERE n_regionkey <> {p['unlisted_region']}) GROUP BY 2""")
     q["industry_risk_fact"] = _with(f"""
 SELECT id AS rating_id, company_name, CAST(pos AS BIGINT) AS position,
        CAST(NULL AS VARCHAR) AS industry, CAST(NULL AS VARCHAR) AS score,
@@ -572,4 +580,85 @@ SELECT file_hash, filename,
          || ',"data_quality_passed":' || CASE WHEN len(errors) = 0 THEN 'true' ELSE 'false' END
          || ',"data_quality_errors":' || {text('errors')} || '}}}}' END AS parsed_payload
 FROM judged"""
+    q["workbook_cells"] = base + _workbook_cells(meta, kv_labels, whens)
+    good = "o_orderstatus <> 'F' AND id % 13 <> 0 AND id % 17 <> 0 AND id % 101 <> 0"
+    nothing = ", ".join(f"CAST(NULL AS {t})" for t in ["VARCHAR"] * 6 + ["INTEGER"] * 2)
+    q["landing_workbooks_available_now"] = base + f""",
+good AS (SELECT * FROM files WHERE {good}),
+last AS (
+  SELECT rid, count(*) AS n, max(yr) FILTER (WHERE ({_list(fx.YEAR_SUFFIXES)})[CAST((rid + yr) % 8 AS INTEGER) + 1] IN ('', 'A')) AS yr
+  FROM yrs GROUP BY 1)
+SELECT 'published' AS state, c_name AS company_name, c_mktsegment AS corporate_sector, n_name AS country_of_origin,
+       o_orderpriority AS business_risk_profile, '{fc.CONSTANT_VALUES['Reporting Currency/Units']}' AS reporting_currency,
+       {_float('o_totalprice')} AS market_share, CAST(id % 5 + 1 AS INTEGER) AS version_id, CAST(yr AS INTEGER) AS max_actual_year,
+       CAST(2 * coalesce(n, 0) AS BIGINT) AS n, CAST(1 AS BIGINT) AS n_current
+FROM good LEFT JOIN last ON rid = id
+UNION ALL SELECT 'passed', {nothing}, count(*), NULL FROM good
+UNION ALL SELECT 'failed', {nothing}, count(*), NULL FROM files WHERE NOT ({good})
+UNION ALL SELECT 'skipped', {nothing}, count(*), NULL FROM good WHERE id % {PARAMS['copied_every']} = 7"""
     return q
+
+
+def _float(x: str) -> str:
+    """A number cell's text after reading: that of a double."""
+    return f"CAST(CAST({x} AS DOUBLE) AS VARCHAR)"
+
+
+def _workbook_cells(meta: dict, kv_labels: list[str], whens: str) -> str:
+    """All cells of the grids and of the typed sheet, by their layout rules."""
+    from tessera import template as tpl
+    from tessera.sources import fixture_cells as fc
+    esc = lambda v: v.replace("'", "''")
+    kv = ", ".join(f"('{esc(lab)}', {fc.KV_FIRST_ROW + i})" for i, lab in enumerate(meta["key_value"]) if lab in kv_labels)
+    rows = {lab: fc.LIST_FIRST_ROW + i for i, lab in enumerate(meta["named_list"])}
+    labels = ", ".join(f"('{esc(lab)}', {r})" for lab, r in [
+        *rows.items(), (tpl.YEAR_HEADER, fc.HEADER_ROW), (fc.QTY_LABEL, fc.HEADER_ROW + 1), (fc.PRICE_LABEL, fc.HEADER_ROW + 2)])
+    risk, score, weight = (rows[x] for x in ("Industry risk", "Industry risk score", "Industry weight"))
+    texts = [f"SELECT id, r, 2, 'string', label FROM files, (VALUES {labels}) l(label, r)",
+             f"SELECT id, {rows['Rating methodologies applied']}, 3, 'string', '{fc.METHODOLOGY}' FROM files",
+             f"SELECT id, {risk}, 3, 'string', c_mktsegment FROM files",
+             f"SELECT id, {risk}, 5, 'string', '{fc.SECOND_INDUSTRY}' FROM files WHERE id % 9 = 0",
+             f"SELECT id, {score}, 3, 'string', '{fc.DEFAULT_VALUE}' FROM files",
+             f"SELECT id, {score}, 5, 'string', '{fc.SECOND_SCORE}' FROM files WHERE id % 9 = 0",
+             f"SELECT id, r, {fc.LOCKED_COL}, 'string', '{fc.LOCKED}' FROM files, range({fc.HEADER_ROW}, {fc.HEADER_ROW + 7}) x(r)",
+             "SELECT id, 100, 26, 'string', o_orderstatus FROM files WHERE o_orderstatus = 'F'",
+             f"SELECT id, 5, 1, 'string', '{fc.NOTE}' FROM files WHERE id % 13 = 0"]
+    for k, (bad, fine) in enumerate(zip(fx.FAILED_WEIGHTS, fx.GOOD_WEIGHTS)):
+        texts.append(f"SELECT id, {weight}, {3 + k}, 'number', CASE WHEN id % 10 = 0 THEN '{bad}' ELSE '{fine}' END FROM files WHERE id % 10 <> 1")
+    grid = "\n  UNION ALL ".join(texts)
+    span = "(id * 997 % 400000)"
+    clock = lambda s, pad: (f"{pad.format(f'CAST({s} // 3600 AS VARCHAR)')} || ':' || lpad(CAST({s} // 60 % 60 AS VARCHAR), 2, '0')"
+                            f" || ':' || lpad(CAST({s} % 60 AS VARCHAR), 2, '0')")
+    text = fc.TYPED_TEXT.replace("'", "''")
+    typed = f"""SELECT id, 1, 1, 'bool', CASE WHEN o_orderstatus = 'O' THEN 'true' ELSE 'false' END, CASE WHEN o_orderstatus = 'O' THEN 'True' ELSE 'False' END FROM files
+  UNION ALL SELECT o_orderkey, 1, 2, 'date', CAST(CAST(o_orderdate AS DATE) AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ' 00:00:00' FROM orders
+  UNION ALL SELECT id, 1, 3, 'string', {clock('(id % 86400)', "lpad({}, 2, '0')")}, NULL FROM files
+  UNION ALL SELECT id, 1, 4, 'string', CASE {span} // 86400 WHEN 0 THEN '' WHEN 1 THEN '1 day, ' ELSE CAST({span} // 86400 AS VARCHAR) || ' days, ' END
+    || {clock(f'({span} % 86400)', '{}')}, NULL FROM files
+  UNION ALL SELECT id, 2, 1, 'string', 'b', NULL FROM files
+  UNION ALL SELECT id, 2, 27, 'string', '{text}', NULL FROM files"""
+    return f""",
+years AS (
+  SELECT rid, yr, qty, price, 2 + row_number() OVER (PARTITION BY rid ORDER BY yr) AS c,
+         ({_list(fx.YEAR_SUFFIXES)})[CAST((rid + yr) % 8 AS INTEGER) + 1] AS suffix FROM yrs),
+kv AS (SELECT id, l.label, l.r, CASE l.label {whens} END AS value FROM files, (VALUES {kv}) l(label, r)),
+grid(id, r, c, t, v) AS (
+  {grid}
+  UNION ALL SELECT id, r, 2, 'string', label FROM kv
+  UNION ALL SELECT id, r, 3, CASE WHEN label = 'Market share' THEN 'number' ELSE 'string' END,
+    CASE WHEN label = 'Market share' THEN {_float('TRY_CAST(value AS DOUBLE)')} ELSE value END FROM kv WHERE value IS NOT NULL
+  UNION ALL SELECT rid, {fc.HEADER_ROW}, c, CASE WHEN suffix = '' THEN 'number' ELSE 'string' END, CAST(yr AS VARCHAR) || suffix FROM years
+  UNION ALL SELECT rid, {fc.HEADER_ROW + 1}, c, 'number', {_float('qty')} FROM years
+  UNION ALL SELECT rid, {fc.HEADER_ROW + 2}, c, CASE WHEN rid % 11 = 0 THEN 'string' ELSE 'number' END,
+    CASE WHEN rid % 11 = 0 THEN '{fx.NOT_AVAILABLE}' ELSE {_float('price')} END FROM years),
+typed(id, r, c, t, v, d) AS ({typed}),
+sheets AS (SELECT id, CASE WHEN id % 101 = 0 THEN '{fc.WRONG_SHEET}' ELSE '{tpl.get_template()["sheet_name"]}' END AS sheet FROM files),
+cells AS (
+  SELECT id, sheet, r, c, t, v, v AS d FROM grid JOIN sheets USING (id)
+  UNION ALL SELECT id, '{fc.TYPED_SHEET}', r, c, t, v, coalesce(d, v) FROM typed
+  UNION ALL SELECT id, sheet, NULL, NULL, 'sheet', NULL, NULL FROM sheets
+  UNION ALL SELECT id, '{fc.TYPED_SHEET}', NULL, NULL, 'sheet', NULL, NULL FROM files)
+SELECT file_hash, filename, sheet, CAST(r AS INTEGER) AS "row", CAST(c AS INTEGER) AS col,
+       CASE WHEN c > 26 THEN chr(CAST(64 + (c - 1) // 26 AS INTEGER)) ELSE '' END || chr(CAST(65 + (c - 1) % 26 AS INTEGER)) || CAST(r AS VARCHAR) AS coord,
+       t AS value_type, v AS value, d AS display
+FROM cells JOIN files USING (id)"""

@@ -105,6 +105,14 @@ def one_big_table(dim: DataFrame, fct: DataFrame) -> DataFrame:
     return fct.join(d, on="rating_id", how="inner")
 
 
+def write_one_big_table(dim: DataFrame, fct: DataFrame, path: str) -> None:
+    """R6 written as Parquet partitioned by ``metric_year``. Ranges of (year,
+    rating) are even in rows, so a year that holds most of them is written by
+    many tasks and a small one leaves one file, not one per task."""
+    (one_big_table(dim, fct).repartitionByRange("metric_year", "rating_id").sortWithinPartitions("metric_year", "company_name")
+     .write.mode("overwrite").partitionBy("metric_year").parquet(path))
+
+
 def _attr_hash(cols: list[str]):
     # JSON of the attributes is unambiguous (NULL = key absent, "" kept)
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
@@ -121,12 +129,27 @@ def change_only_history(dim: DataFrame, attributes: list[str] = CHANGE_ATTRIBUTE
     return kept.select("id", "company_name", F.col("changed_at").alias("valid_from"), "valid_to", *attributes)
 
 
+CLASSIFICATIONS = {"company": "company_name", "sector": "corporate_sector",
+                   "country": "country_of_origin", "currency": "reporting_currency"}
+
+
+def _classified(dim: DataFrame) -> DataFrame:
+    """(list_name, value) of every rating, in one scan of the dimension."""
+    items = ", ".join(f"'{name}', {col}" for name, col in CLASSIFICATIONS.items())
+    return dim.selectExpr(f"stack({len(CLASSIFICATIONS)}, {items}) as (list_name, value)").filter(F.col("value").isNotNull())
+
+
 def classification_lists(dim: DataFrame) -> DataFrame:
     """Distinct companies, sectors, countries and currencies."""
-    parts = [dim.select(F.lit(name).alias("list_name"), F.col(col).alias("value"))
-             for name, col in [("company", "company_name"), ("sector", "corporate_sector"),
-                               ("country", "country_of_origin"), ("currency", "reporting_currency")]]
-    return reduce(DataFrame.unionByName, parts).filter(F.col("value").isNotNull()).distinct()
+    return _classified(dim).distinct()
+
+
+def unknown_members(dim: DataFrame, members: DataFrame) -> DataFrame:
+    """Values that are in no list of ``members`` (list_name, value), with
+    the ratings that use them. A list may be as long as the dimension: values
+    are counted before they meet it."""
+    used = _classified(dim).groupBy("list_name", "value").agg(F.count(F.lit(1)).alias("ratings"))
+    return used.join(members.select("list_name", "value"), ["list_name", "value"], "left_anti")
 
 
 def industry_risk_fact(stg_ratings: DataFrame) -> DataFrame:

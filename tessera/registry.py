@@ -47,6 +47,8 @@ PARAMS = {
     "first_batch_lang": "en",
     "reprocess_pattern": "corporates_1*_2.xlsm",
     "ingest_time": "2024-01-02 03:04:05",
+    "copied_every": 50,  # workbooks that land twice (id modulo this is 7, if they pass)
+    "unlisted_region": 3,  # its countries, and customers with key modulo 50 = 7, are in no member list
 }
 # Data rules of the rule queries; the tables breach each of them.
 RULES = [
@@ -138,8 +140,10 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     r["upload_success_rate"] = _wh(lambda w: R.upload_success_rate(w.audits))
     r["snapshots_page"] = _wh(lambda w: Q.snapshots_page(w.dim, p["page"], p["page_size"]))
     r["one_big_table"] = _wh(lambda w: R.one_big_table(w.dim, w.fct))
+    r["one_big_table_year"] = _one_big_table_year
     r["scd_change_only"] = _wh(lambda w: R.change_only_history(w.dim))
     r["classification_lists"] = _wh(lambda w: R.classification_lists(w.dim))
+    r["unknown_members"] = _unknown_members
     r["industry_risk_fact"] = _wh(lambda w: R.industry_risk_fact(w.stg_ratings))
     r["register_files_first_wins"] = _register_files
     r["idempotent_skip"] = lambda spark, sf_dir: comparable(_statuses(spark, sf_dir))
@@ -157,6 +161,7 @@ def _registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "file_hash", "filename", "status", "data_quality_passed", F.size("errors").alias("n_errors"), "parsed_payload"))
     r["workbook_cells"] = _workbook_round_trip
     r["landing_stream_available_now"] = _landing_stream
+    r["landing_workbooks_available_now"] = _landing_workbooks
     r["replayed_batches"] = _replayed_batches
     r["publish_quarantine"] = _publish_quarantine
     r["incremental_delta"] = _incremental_delta
@@ -183,11 +188,69 @@ def _cells(fn):
 
 
 def _workbook_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B1: the derived sheet grids written as .xlsx bytes and decoded back
-    into cells by the workbook reader (rows-only check)."""
-    from tessera.sources.fixture_cells import cell_grid
+    """B1: the derived sheet grids, with a second sheet of other value types,
+    written as .xlsx bytes and decoded back into cells by the workbook reader."""
+    from tessera.sources.fixture_cells import cell_grid, typed_cells
     from tessera.sources.workbook import read_cells, write_workbooks
-    return comparable(read_cells(write_workbooks(cell_grid(spark, sf_dir))))
+    return comparable(read_cells(write_workbooks(cell_grid(spark, sf_dir).unionByName(typed_cells(spark, sf_dir)))))
+
+
+def _one_big_table_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table written in partitions, one of them read."""
+    import uuid
+    from tessera.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tessera/one-big-table-{uuid.uuid4().hex}"
+    w = warehouse(spark, sf_dir)
+    R.write_one_big_table(w.dim, w.fct, path)
+    return comparable(spark.read.parquet(path).filter(F.col("metric_year") == PARAMS["business_year"]))
+
+
+def _unknown_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings whose company, sector or country is in no member list."""
+    from tessera.sources.tables import read_table
+    nations = read_table(spark, sf_dir, "nation", "n_name", "n_regionkey").filter(F.col("n_regionkey") != PARAMS["unlisted_region"])
+    customers = read_table(spark, sf_dir, "customer", "c_custkey", "c_name").filter(F.col("c_custkey") % 50 != 7)
+    sectors = next(r for r in RULES if r.name == "sector_known").members
+    members = (nations.select(F.lit("country").alias("list_name"), F.col("n_name").alias("value"))
+               .unionByName(customers.select(F.lit("company").alias("list_name"), F.col("c_name").alias("value")))
+               .unionByName(spark.createDataFrame([("sector", s) for s in sectors], "list_name string, value string")))
+    return comparable(R.unknown_members(warehouse(spark, sf_dir).dim, members))
+
+
+def _landing_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1/A1/A8-A10: every sheet grid lands as a workbook file, some of them
+    twice; an availableNow stream picks them up in two micro-batches, archives,
+    judges, parses and publishes them. The result: one row per published rating
+    with its facts and its company's current versions, and the files of all
+    runs by status."""
+    import uuid
+    from tessera.plans.pipeline import Published
+    from tessera.session import checkpoint_dir
+    from tessera.sources.fixture_cells import cell_grid, order_hashes
+    from tessera.sources.workbook import write_files, write_workbooks
+    from tessera.streaming.landing import ingest_workbooks
+    base = f"{checkpoint_dir(spark).rstrip('/')}/tessera/workbooks-{uuid.uuid4().hex}"
+    ids = order_hashes(spark, sf_dir)
+    books = write_workbooks(cell_grid(spark, sf_dir)).join(ids, "file_hash")
+    name = F.concat(F.lit("order-"), F.col("id").cast("string"), F.lit("_"), (F.col("id") % 5 + 1).cast("string"), F.lit(".xlsm"))
+    passes = (F.col("o_orderstatus") != "F") & (F.col("id") % 13 != 0) & (F.col("id") % 17 != 0) & (F.col("id") % 101 != 0)
+    folders = F.when(passes & (F.col("id") % PARAMS["copied_every"] == 7), F.array(F.lit("new"), F.lit("copies"))).otherwise(F.array(F.lit("new")))
+    landed = books.withColumn("_folder", F.explode(folders)).select(F.concat("_folder", F.lit("/"), name).alias("path"), "content")
+    n = write_files(landed, f"{base}/landing")
+    ingest_workbooks(spark, f"{base}/landing", f"{base}/wh", f"{base}/_checkpoint", fail_on_errors=False, max_files_per_trigger=max(1, -(-n // 2)))
+    pub = Published(spark, f"{base}/wh")
+    facts = pub.fct.groupBy(F.col("rating_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    current = pub.dim.groupBy("company_name").agg(F.sum(F.col("is_system_current").cast("bigint")).alias("n_current"))
+    audit = spark.read.parquet(f"{base}/wh/ingestion_runs")
+    none = F.lit(None).cast("string")
+    ratings = (pub.dim.join(facts, "id", "left").join(current, "company_name")
+               .select(F.lit("published").alias("state"), "company_name", "corporate_sector", "country_of_origin", "business_risk_profile",
+                       "reporting_currency", "market_share", "version_id", "max_actual_year", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "n_current"))
+    runs = audit.groupBy("status").agg(F.sum("files").alias("n")).select(
+        F.col("status").alias("state"), *[none.alias(c) for c in ("company_name", "corporate_sector", "country_of_origin", "business_risk_profile",
+                                                                  "reporting_currency", "market_share")],
+        F.lit(None).cast("int").alias("version_id"), F.lit(None).cast("int").alias("max_actual_year"), "n", F.lit(None).cast("bigint").alias("n_current"))
+    return comparable(ratings.unionByName(runs))
 
 
 def _landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

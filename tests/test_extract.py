@@ -141,3 +141,84 @@ def test_payloads_shuffle_twice(spark):
     cells = read_cells(spark.createDataFrame([("h", "f.xlsm", bytearray(encode_workbook(company_a())))], "file_hash string, filename string, content binary"))
     plan = Extraction(cells).payloads()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def _book(body: str, styles: str = "") -> bytes:
+    """A workbook whose sheet holds the rows ``body``."""
+    import io
+    import zipfile
+    src, out = zipfile.ZipFile(io.BytesIO(encode_workbook({"MASTER": []}))), io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for n in src.namelist():
+            data = src.read(n).decode()
+            if n.endswith("sheet1.xml"):
+                data = data.replace("<sheetData></sheetData>", f"<sheetData>{body}</sheetData><mergeCells><mergeCell ref='A1:B1'/></mergeCells>")
+            if styles and n.endswith("styles.xml"):
+                data = data.replace("<cellXfs", styles + "<cellXfs", 1).replace("</cellXfs>", "".join(f'<xf numFmtId="{200 + i}"/>' for i in range(6)) + "</cellXfs>")
+            z.writestr(n, data)
+    return out.getvalue()
+
+
+def test_times_and_durations():
+    """A number below one day in a date format is a time, elapsed formats are
+    durations; what no calendar holds is an error text, not a broken file."""
+    formats = ["h:mm", "[h]:mm", "[$-409]d-mmm", "[Red]0.0", '"day"0', "[ss].0"]
+    styles = "<numFmts>" + "".join(f'<numFmt numFmtId="{200 + i}" formatCode="{f.replace(chr(34), "&quot;")}"/>' for i, f in enumerate(formats)) + "</numFmts>"
+    cells = [(2, "0.604166666666667"), (1, "0"), (3, "1.08333333333333"), (4, "0.5"), (5, "2.5"), (6, "45322"), (7, "45322.5"), (8, "3"), (9, "0.001"),
+             (1, "45322.75"), (1, "1"), (1, "-700000"), (1, "99999999")]
+    body = "<row>" + "".join(f'<c s="{s}"><v>{v}</v></c>' for s, v in cells)
+    body += '<c t="d"><v>2024-02-29T10:00:00Z</v></c><c t="d"><v>09:30:00</v></c></row>'
+    got = [r[4:] for r in decode_workbook(_book(body, styles)) if r[3]]
+    one = lambda s: ("string", s, s)
+    assert got == [one("14:30:00"), one("00:00:00"), one("1 day, 2:00:00"), one("12:00:00"), one("2 days, 12:00:00"),
+                   ("date", "2024-01-31", "2024-01-31 00:00:00"), ("number", "45322.5", "45322.5"), ("number", "3", "3"), one("0:01:26.400000"),
+                   ("date", "2024-01-31", "2024-01-31 18:00:00"), ("date", "1900-01-01", "1900-01-01 00:00:00"), one("#VALUE!"), one("#VALUE!"),
+                   ("date", "2024-02-29", "2024-02-29 10:00:00"), one("09:30:00")]
+
+
+def test_huge_sheet_in_bounded_memory():
+    """A sheet of 200,000 cells is never held whole; out of order with
+    repeated references it gives the same cells, the last of each."""
+    import tracemalloc
+    import pandas as pd
+    from tessera.sources import workbook
+    n = 20_000
+    rows = [f'<row r="{r}">' + "".join(f'<c r="{c}{r}"><v>{r}</v></c>' for c in "ABCDEFGHIJ") + "</row>" for r in range(1, n + 1)]
+    mixed = [f'<row r="7"><c r="A7"><v>-1</v></c><c r="K7"><v>5</v></c></row>'] + rows[::-1] + ['<row r="9"><c r="B9"><v>-2</v></c><c r="A9"/></row>']
+    old, workbook.CELLS_AT_ONCE = workbook.CELLS_AT_ONCE, 5_000
+    try:
+        for body, first, total in ((rows, {}, 10 * n), (mixed, {"K7": "5", "B9": "-2", "A9": None}, 10 * n + 1 - 1)):
+            pdf = pd.DataFrame({"file_hash": ["h"], "filename": ["f"], "content": [_book("".join(body))]})
+            seen = {}
+            tracemalloc.start()
+            for frame in workbook._decode_batches([pdf]):
+                assert len(frame) <= 5_000
+                if body is mixed:
+                    seen.update(zip(frame["coord"], frame["value"]))
+                else:
+                    seen[None] = seen.get(None, 0) + len(frame)
+            peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            if body is rows:
+                assert seen[None] == total + 1 and peak < 30e6
+            else:
+                seen.pop(None)
+                assert len(seen) == total and all(seen.get(k) == v for k, v in first.items()) and seen["A7"] == "7"
+    finally:
+        workbook.CELLS_AT_ONCE = old
+
+
+def test_unreadable_end_of_a_large_workbook(spark):
+    """A file that breaks after its first cells leaves one error and no cell."""
+    import pandas as pd
+    from tessera.sources import workbook
+    old, workbook.CELLS_AT_ONCE = workbook.CELLS_AT_ONCE, 100
+    try:
+        body = "".join(f'<row r="{r}"><c r="A{r}"><v>{r}</v></c></row>' for r in range(1, 500)) + '<row r="500"><c r="A500"><v>x</v></c></row>'
+        good = "".join(f'<row r="{r}"><c r="A{r}"><v>{r}</v></c></row>' for r in range(1, 300))
+        pdf = pd.DataFrame({"file_hash": ["h", "g"], "filename": ["f", "g"], "content": [_book(body), _book(good)]})
+        out = pd.concat(workbook._decode_batches([pdf]))
+    finally:
+        workbook.CELLS_AT_ONCE = old
+    assert list(out[out.filename == "f"]["value_type"]) == ["unreadable"]
+    assert list(out[out.filename == "g"]["value"])[1:] == [str(r) for r in range(1, 300)]

@@ -18,7 +18,8 @@ from conftest import SF_SMALL  # noqa: E402
 QUICK = ["stg_metrics_long", "dim_bitemporal", "fct_metrics_rounded", "company_details_nested",
          "upload_audits", "compare_business_year", "company_latest", "dq_unique_not_null",
          "scd_change_only", "register_files_first_wins", "cells_named_list", "payload_assembled",
-         "upsert_composite_key", "as_of_probes"]
+         "upsert_composite_key", "as_of_probes", "workbook_cells",
+         "one_big_table_year", "unknown_members", "landing_workbooks_available_now"]
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("TESSERA_FULL_ORACLE") else QUICK
 
 
@@ -35,7 +36,7 @@ def test_every_query_has_oracle_or_is_rows_only():
     from tessera.registry import queries
     q, o = queries(), oracle_queries()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"workbook_cells"}
+    assert set(q) == set(o)
     assert set(q) <= set(entry.queries()) and set(o) <= set(entry.oracle_sql())
 
 

@@ -53,3 +53,14 @@ def test_detail_questions_filter_the_fact_before_nesting(pub):
         at = next(i for i, x in enumerate(lines) if "collect_list" in x)
         assert any("LeftSemi" in x for x in lines[at + 1:at + 4])
         assert sorted(map(str, lookup.collect())) == sorted(map(str, ask(pub.details).collect()))
+
+
+def test_one_big_table_reads_one_partition(spark, tmp_root):
+    from tessera.plans import reports as R
+    from tessera.registry import warehouse
+    w = warehouse(spark, SF_SMALL)
+    R.write_one_big_table(w.dim, w.fct, f"{tmp_root}/obt")
+    one = spark.read.parquet(f"{tmp_root}/obt").filter("metric_year = 1996")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "metric_year" in plan.split("PartitionFilters: [")[1].split("]")[0] and len(one.inputFiles()) >= 1
+    assert one.count() == w.fct.filter("metric_year = 1996").count() > 0
