@@ -193,3 +193,17 @@ def test_malformed_list_is_quarantined(spark):
     assert [r.id for r in M.stg_ratings(raw).collect()] == [1]
     flags = {r.upload_id: r.payload_well_formed for r in M.upload_audits(raw).collect()}
     assert flags == {1: True, 2: False}
+
+
+def test_upsert_evaluates_its_batch_once(spark, tmp_root):
+    """Clustering by key reads the batch for its ranges and for its rows; the
+    batch itself runs once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+    batch = spark.range(1000).repartition(4).mapInPandas(count, "id long")
+    VersionedTable(spark, f"{tmp_root}/once").upsert(batch, ["id"], ["id"])
+    assert seen.value == 1000

@@ -64,3 +64,20 @@ def test_one_big_table_reads_one_partition(spark, tmp_root):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "metric_year" in plan.split("PartitionFilters: [")[1].split("]")[0] and len(one.inputFiles()) >= 1
     assert one.count() == w.fct.filter("metric_year = 1996").count() > 0
+
+
+def test_models_of_both_stagings_read_parsed_payloads(spark):
+    """The dimension and the facts parse each payload once: they read a table
+    of parsed payloads, not the raw rows."""
+    from tessera.plans.marts import Warehouse
+    w = Warehouse(raw_ratings(spark, SF_SMALL))
+    plan = _plan(w.fct)
+    assert "parsed-" in plan and "to_json" not in plan
+
+
+def test_rules_on_payloads_do_not_parse_again(spark):
+    """No filter holds a parse of the whole payload."""
+    from tessera.plans.marts import stg_ratings
+    plan = _plan(stg_ratings(spark.createDataFrame([(1, 1, "{}", None)], "id long, upload_id long, parsed_payload string, parsed_at timestamp_ntz")))
+    filters = [line for line in plan.split("\n") if "Filter" in line]
+    assert filters and not any("parsed_payload" in line for line in filters)
