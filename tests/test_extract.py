@@ -245,3 +245,16 @@ def test_key_values_and_missing_share_one_shuffle(spark):
     assert kv._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert not kv.storageLevel.useDisk
     assert [(r.section, r.label) for r in x.required_missing().collect()] == [("evaluations_metadata", "Rated entity")]
+
+
+def test_many_small_workbooks_share_a_batch(spark):
+    """Files are encoded from a stream of cells, not group by group; a file
+    without a name is one of them."""
+    from tessera.sources.workbook import write_workbooks
+    cells = spark.createDataFrame([(h, n, "MASTER", r, 1, "number", str(r)) for h, n in (("a", "a.x"), ("b", "b.x"), (None, None)) for r in (2, 1)]
+                                  + [("c", "c.x", "MASTER", None, None, "sheet", None)],
+                                  "file_hash string, filename string, sheet string, row int, col int, value_type string, value string")
+    books = write_workbooks(cells)
+    assert "FlatMapGroupsInPandas" not in books._jdf.queryExecution().executedPlan().toString()
+    got = {r.file_hash: [(x[1], x[5]) for x in decode_workbook(bytes(r.content))] for r in books.collect()}
+    assert got == {h: [(None, None), (1, "1"), (2, "2")] for h in ("a", "b", None)} | {"c": [(None, None)]}
