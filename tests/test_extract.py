@@ -258,3 +258,22 @@ def test_many_small_workbooks_share_a_batch(spark):
     assert "FlatMapGroupsInPandas" not in books._jdf.queryExecution().executedPlan().toString()
     got = {r.file_hash: [(x[1], x[5]) for x in decode_workbook(bytes(r.content))] for r in books.collect()}
     assert got == {h: [(None, None), (1, "1"), (2, "2")] for h in ("a", "b", None)} | {"c": [(None, None)]}
+
+
+def test_named_results_take_one_scan_and_one_shuffle(spark):
+    """Named values, lists and missing fields are those of the separate
+    results, without a table of cells, a join or a second shuffle."""
+    from tessera.sources.fixture_cells import cell_grid
+    from conftest import SF_SMALL
+    x = Extraction(cell_grid(spark, SF_SMALL, labels=True))
+    row = lambda r: tuple(tuple(v) if isinstance(v, list) else v for v in r)
+    for one, two in ((x.named_key_values(), x.key_values()), (x.named_named_lists(), x.named_lists()),
+                     (x.named_required_missing(), x.required_missing().drop("s_idx", "l_idx"))):
+        assert sorted(map(repr, map(row, one.collect()))) == sorted(map(repr, map(row, x.named(two).collect())))
+    rows = spark.createDataFrame([("h", n, x.t["sheet_name"], r, c, v, t, None if r == 0 else t, None if r == 0 else "Rated entity", None if r == 0 else "Rated entity")
+                                  for n in ("a", "b") for r, c, v, t in ((0, 0, "sheet", None), (3, 2, "string", "Rated entity"), (3, 3, "string", "E"))],
+                                 "file_hash string, filename string, sheet string, row int, col int, value_type string, value string, display string, row_label string, row_label_any string")
+    named = Extraction(rows, materialize=False).named_key_values()
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert sorted((r.filename, r.label, r.value) for r in named.collect()) == [("a", "Rated entity", "E"), ("b", "Rated entity", "E")]
