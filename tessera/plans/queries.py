@@ -186,10 +186,13 @@ def company_versions(dim: DataFrame, name=None) -> DataFrame:
 
 # Q6
 def company_history(dim: DataFrame, fct: DataFrame, name=None) -> DataFrame:
-    """Metric time series of the single latest row per company."""
+    """Metric time series of the single latest row per company. ``fct`` may
+    be a ``DetailLookup``, which gives the facts of the chosen rows only."""
     d = _restrict(dim, name).filter(F.col("is_latest_version_for_business_year"))
     latest = top1_rows(d.select("id", "company_name", "end_of_business_year", "max_actual_year",
                                 "sys_valid_from"), ["company_name"], _latest_row_rank())
+    if not isinstance(fct, DataFrame):
+        fct = fct.facts_of(latest.select(F.col("id").alias("rating_id")))
     f = fct.select(F.col("rating_id").alias("id"), "metric_name", "metric_value_numeric", "metric_year")
     return (latest.join(f, on="id", how="inner")
             .select("company_name", F.col("end_of_business_year").alias("evaluation_year"),

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera import template as tpl
@@ -63,15 +63,16 @@ def error_kinds_of(df: DataFrame, errors_col: str) -> DataFrame:
 
 def range_rules(stg_ratings: DataFrame) -> DataFrame:
     """R2: weights outside [0, 1] (or not numeric) and scores outside the
-    rating scale, one row per offending list element."""
-    w = stg_ratings.select("id", F.posexplode("industry_weight").alias("pos", "value"))
+    rating scale, one row per offending list element. One scan for both."""
+    def items(col: str, rule: str) -> Column:
+        return F.transform(F.coalesce(F.col(col), F.array().cast("array<string>")), lambda v, i: F.struct(
+            F.lit(rule).alias("rule"), (i + 1).cast("int").alias("position"), v.alias("value")))
+    weight, score = "industry_weight_in_0_1", "industry_risk_score_in_scale"
+    rows = stg_ratings.select("id", F.explode(F.concat(items("industry_weight", weight), items("industry_risk_score", score))).alias("_i")).select("id", "_i.*")
     num = F.col("value").try_cast("decimal(38,18)")
-    bad_w = w.filter(num.isNull() | (num < 0) | (num > 1)).select(
-        "id", F.lit("industry_weight_in_0_1").alias("rule"), (F.col("pos") + 1).alias("position"), "value")
-    s = stg_ratings.select("id", F.posexplode("industry_risk_score").alias("pos", "value"))
-    bad_s = s.filter(F.col("value").isNull() | ~F.col("value").isin(RATING_SCALE)).select(
-        "id", F.lit("industry_risk_score_in_scale").alias("rule"), (F.col("pos") + 1).alias("position"), "value")
-    return bad_w.unionByName(bad_s)
+    bad_w = (F.col("rule") == weight) & (num.isNull() | (num < 0) | (num > 1))
+    bad_s = (F.col("rule") == score) & (F.col("value").isNull() | ~F.col("value").isin(RATING_SCALE))
+    return rows.filter(bad_w | bad_s)
 
 
 def run_metrics(raw: DataFrame, stg_metrics: DataFrame) -> DataFrame:
