@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -270,6 +271,26 @@ def test_search_counts_all_shared_lists_of_a_pair(spark):
     assert [tuple(r) for r in jaccard_join.candidates(frame, 80).collect()] == [(x, y)]
 
 
+def test_search_leaves_out_pairs_that_cannot_be_linked(spark):
+    """Sets of 40 shingles have 30 long lists at 80 %; a link needs 36 common
+    shingles, so 5 shared short lists are too few and 6 may do."""
+    lists = {100 + i: (1, 2, 3) if i < 5 else (1, 3) for i in range(6)}
+    rows = [(s, n, 40, n) for s, nodes in lists.items() for n in nodes]
+    frame = spark.createDataFrame(rows, "shingle long, node long, n int, comp long")
+    assert [tuple(r) for r in jaccard_join.candidates(frame, 80, ordered=True).collect()] == [(1, 3)]
+
+
+def test_group_links_stay_few(spark):
+    """Links of one block are between components: a star, whatever the
+    classes of a component; later links move whole components."""
+    sets = [np.arange(i, 100 + i, dtype=np.uint64).tobytes() for i in (0, 1, 2, 3, 500, 501)]
+    pdf = pd.DataFrame({"node": [11, 12, 13, 14, 15, 16], "comp": [11, 7, 7, 14, 15, 15], "own": [True] * 6, "set": sets})
+    assert sorted(jaccard_join.compare(pdf, 80).itertuples(index=False, name=None)) == [(7, 11), (7, 14)]
+    comps = spark.createDataFrame([(7, 7), (12, 7), (15, 15), (16, 15)], "node long, comp long")
+    links = spark.createDataFrame([(7, 15), (20, 21)], "a long, b long")
+    assert {tuple(r) for r in jaccard_join.joined(comps, links).collect()} == {(7, 7), (12, 7), (15, 7), (16, 7), (20, 20), (21, 20)}
+
+
 def test_one_per_group(spark):
     docs = awkward_docs(spark)
     got = jaccard_join.one_per_group(docs, 5, 80)
