@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tessera.operators import incremental
 from tessera.operators.incremental import VersionedTable, after_watermark, dedupe_newest
 from tessera.plans import pipeline
 from tessera.sources.fixture_ratings import raw_ratings
@@ -207,3 +208,19 @@ def test_upsert_evaluates_its_batch_once(spark, tmp_root):
     batch = spark.range(1000).repartition(4).mapInPandas(count, "id long")
     VersionedTable(spark, f"{tmp_root}/once").upsert(batch, ["id"], ["id"])
     assert seen.value == 1000
+
+
+def test_upsert_looks_for_the_newest_row_only_if_a_key_is_repeated(spark, tmp_root, monkeypatch):
+    calls = []
+    monkeypatch.setattr(incremental, "dedupe_newest", lambda *a: calls.append(1) or dedupe_newest(*a))
+    t, schema = VersionedTable(spark, f"{tmp_root}/once"), "k int, j string, v string, ts int"
+    keys = ["k", "j"]
+    t.upsert(spark.createDataFrame([(1, "a", "x", 1), (1, "b", "y", 1), (None, "a", "z", 1)], schema), keys, ["ts"])
+    t.upsert(spark.createDataFrame([(1, "b", "y2", 2), (2, None, "w", 1)], schema), keys, ["ts"])
+    assert not calls
+    t.upsert(spark.createDataFrame([(2, "a", "old", 1), (2, "a", "new", 2), (3, None, "old", 1), (3, None, "new", 2)], schema), keys, ["ts"])
+    assert calls == [1]
+    assert sorted(map(str, t.read().collect())) == sorted(map(str, spark.createDataFrame(
+        [(1, "a", "x", 1), (1, "b", "y2", 2), (None, "a", "z", 1), (2, None, "w", 1), (2, "a", "new", 2), (3, None, "new", 2)], schema).collect()))
+    names = [x.getPath().getName() for x in t._fs.listStatus(t._Path(t.path))]
+    assert not [n for n in names if n.startswith("_batch")]
