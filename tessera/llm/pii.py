@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import _text
+from tessera.llm._store import frugal
 
 ROUNDS = 8
 CACHE = 200_000
@@ -144,6 +145,10 @@ class Pseudonyms:
         self.feistel, self.back = Feistel(key), back
         self.cache: dict[tuple[str, str], str | None] = {}
 
+    def forget(self) -> None:
+        """Drops the values seen, at the end of a task (``frugal`` frees them)."""
+        self.cache.clear()
+
     def _perm(self, tag: str, x: int, n: int, valid=lambda x: True) -> int:
         return self.feistel.permute(tag, x, n, valid, self.back)
 
@@ -383,6 +388,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str = "n_
     secret = key.encode()
     source = docs.select(*[F.col("`" + f.name.replace("`", "``") + "`") for f in keep])
 
+    @frugal
     def run(batches):
         names = _workers.setdefault((secret, back), Pseudonyms(secret, back))
         for batch in batches:
@@ -408,5 +414,6 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str = "n_
             columns = list(batch.columns)
             columns[at] = texts
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], names=[f.name for f in schema.fields])
+        names.forget()
 
     return source.mapInArrow(run, schema)

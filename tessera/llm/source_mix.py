@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm._prefix import running_sum
-from tessera.llm._store import safely_named, written
+from tessera.llm._store import safely_named, small_batches, written
 
 BLOCK = 256
 EPOCHS = 3
@@ -111,6 +111,7 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
 def mix(docs: DataFrame, block: int = BLOCK, epochs: int = EPOCHS, seed: int = 20240229, keep: list[str] = ["doc_id"]) -> DataFrame:
     """One row per document: the columns ``keep``, size, source_size, target,
     taken (words the mix takes, repeats counted) and first_slot."""
+    small_batches(docs.sparkSession)
     rows = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)],
                        F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
                        F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("_key"),

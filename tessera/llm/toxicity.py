@@ -262,6 +262,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH,
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH, max_bytes: int = MAX_BYTES) -> Model | None:
+    small_batches(docs.sparkSession)
     got = training_rows(docs, labels, max_each, max_bytes).toPandas()
     y = got["_y"].to_numpy(dtype=np.int64)
     if len(set(y.tolist())) < 2:

@@ -120,6 +120,14 @@ def test_mix(spark):
     assert source_mix.mix(empty_docs(spark)).count() == 0
 
 
+def test_mix_reads_texts_in_small_batches(spark):
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    spark.conf.set(key, "4096")
+    docs = spark.createDataFrame([(1, "a b", "s"), (2, None, None)], "doc_id long, text string, source string")
+    assert sorted(r["size"] for r in source_mix.mix(docs).collect()) == [0, 2]
+    assert int(spark.conf.get(key)) <= 512
+
+
 def test_schedule_follows_the_targets(spark):
     sizes = spark.createDataFrame([("a", 9000), ("b", 9000), ("c", 9000)], "source string, size long")
     slots = source_mix.schedule(source_mix.target_table(sizes), 10).orderBy("t").collect()

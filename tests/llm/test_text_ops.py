@@ -172,6 +172,18 @@ def test_pii_rows(spark):
     assert collections.Counter(map(tuple, undone.collect())) == collections.Counter((r[0], r[1]) for r in rows)
 
 
+def test_pii_task_leaves_no_values_in_its_worker(spark, monkeypatch):
+    tasks = []
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    with monkeypatch.context() as m:
+        m.setattr(type(docs), "mapInArrow", lambda self, task, *_: tasks.append(task) or self)
+        pii.pseudonymise(docs, "key of one task")
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["mail ann@example.com", None])], names=["doc_id", "text"])
+    out = pa.Table.from_batches(list(tasks[0](iter([batch])))).to_pydict()
+    assert out["n_private"] == [1, 0] and out["text"][0] != "mail ann@example.com" and out["text"][1] is None
+    assert not pii._workers[b"key of one task", False].cache
+
+
 def test_pii_query_against_whole_text_search(spark):
     from tessera.llm.registry import PII_KEY, queries
     docs = {r["doc_id"]: r["text"] for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()}
