@@ -277,3 +277,24 @@ def test_named_results_take_one_scan_and_one_shuffle(spark):
     plan = named._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     assert sorted((r.filename, r.label, r.value) for r in named.collect()) == [("a", "Rated entity", "E"), ("b", "Rated entity", "E")]
+
+
+def test_files_are_gathered_before_the_shuffle(spark):
+    """A task's cells of a file leave it as one row, statements are judged
+    without lambdas over an array per cell, and errors alone gather no label's
+    texts."""
+    from tessera.plans.reports import error_kinds_of
+    rows = [("h", "f.xlsm", "MASTER", 0, 0, "sheet", None)] + [("h", "f.xlsm", "MASTER", r, c, "string", v) for r, c, v in (
+        (3, 2, "Rated entity"), (3, 3, " A "), (5, 2, "Rated entity"), (24, 2, "Industry risk"), (24, 3, "x"), (24, 5, "y"), (25, 2, "Industry risk"), (25, 4, "z"),
+        (50, 1, "s"), (None, 30, "q"))]
+    cells = spark.createDataFrame(rows, "file_hash string, filename string, sheet string, row int, col int, value_type string, value string").withColumn("display", F.col("value"))
+    label = F.when(F.col("row").isin(3, 5), "Rated entity").when(F.col("row").isin(24, 25), "Industry risk")
+    x = Extraction(cells.withColumns({"row_label": label, "row_label_any": label}), materialize=False)
+    r = x.payloads().first()
+    assert r.parsed_payload.startswith('{"evaluations_metadata":{"Rated entity":null,"Industry risk":[null,"z"]},"credit_metrics":{},"unexpected_cells":{null:null,"A50":"s"},')
+    assert r.errors[:2] == [None, "Unexpected data point found in cell A50: 's'"] and len(r.errors) == 21
+    plan = x.payloads()._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning"):]
+    assert "partial_collect_list" in below and "lambda" not in below
+    kinds = error_kinds_of(x.payloads(), "errors")._jdf.queryExecution().executedPlan().toString()
+    assert kinds.count("partial_collect_list") == 1  # unexpected cells
