@@ -298,3 +298,48 @@ def test_files_are_gathered_before_the_shuffle(spark):
     assert "partial_collect_list" in below and "lambda" not in below
     kinds = error_kinds_of(x.payloads(), "errors")._jdf.queryExecution().executedPlan().toString()
     assert kinds.count("partial_collect_list") == 1  # unexpected cells
+
+
+def test_workbook_bytes_are_those_of_the_zip_module():
+    """Written members equal the zip module's, byte for byte; members read
+    without it are equal too, and broken files give its errors."""
+    import io
+    import random
+    import zipfile
+    import pytest
+    from tessera.sources import workbook
+    content = encode_workbook(company_a())
+    assert encode_workbook({"A": [], "B & C": [(1, 28, "string", "é <x>")]}) != content
+    src, out = zipfile.ZipFile(io.BytesIO(content)), io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for n in src.namelist():
+            info = zipfile.ZipInfo(n, date_time=(1980, 1, 1, 0, 0, 0))
+            info.compress_type = zipfile.ZIP_DEFLATED
+            z.writestr(info, src.read(n))
+    assert out.getvalue() == content
+    plain = workbook._Zip(content)
+    assert all(plain.read(n) == src.read(n) and plain.size(n) == src.getinfo(n).file_size and n in plain for n in src.namelist())
+    assert plain._module is None and "xl/sharedStrings.xml" not in plain
+    with pytest.raises(KeyError):
+        plain.read("none")
+    rnd = random.Random(1)
+
+    def all_of(read):
+        try:
+            return read()
+        except Exception as e:  # noqa: BLE001
+            return type(e).__name__
+    for _ in range(300):
+        bad = bytearray(content)
+        bad[rnd.randrange(len(bad))] = rnd.randrange(256)
+        bad = bytes(bad[:rnd.choice([len(bad), len(bad), rnd.randrange(len(bad))])])
+        for n in src.namelist():
+            assert all_of(lambda: workbook._Zip(bad).read(n)) == all_of(lambda: zipfile.ZipFile(io.BytesIO(bad)).read(n))
+
+
+def test_small_sheet_reads_like_a_large_one(monkeypatch):
+    from tessera.sources import workbook
+    body = '<row><c><v>1</v></c><c r="D1"><v>2</v></c><c t="inlineStr"><is><r><t>a</t></r><t>b</t></is></c></row><row r="5"><c t="b"><v>1</v></c></row><row/><row><c r="b9"/><c r="A2"><v>3</v></c></row>'
+    small = list(decode_workbook(_book(body)))
+    monkeypatch.setattr(workbook, "SMALL_SHEET", 0)
+    assert small == list(decode_workbook(_book(body))) and [r[3] for r in small] == [None, "A1", "D1", "E1", "A5", "A2"]
